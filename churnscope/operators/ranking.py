@@ -68,23 +68,27 @@ def global_rank(df: DataFrame, order_cols: list, out: str = "rank",
     return ranked.drop("_pid", "_off", "_rid", "_tot", "_cnt")
 
 
-def running_total(df: DataFrame, order_cols: list, weight: str, out: str,
+def running_total(df: DataFrame, order_cols: list, weights, outs,
                   num_partitions: int | None = None) -> DataFrame:
-    """Inclusive running sum of ``weight`` along the total order
-    ``order_cols`` (which must identify a row), computed per range partition
-    plus the totals of earlier partitions."""
+    """Inclusive running sums of the ``weights`` columns along the total
+    order ``order_cols`` (which must identify a row): a window per range
+    partition plus the totals of all earlier partitions."""
+    weights = [weights] if isinstance(weights, str) else list(weights)
+    outs = [outs] if isinstance(outs, str) else list(outs)
     n_parts = _partitions(df, num_partitions)
     tagged = (df.repartitionByRange(n_parts, *order_cols)
               .withColumn("_pid", F.spark_partition_id()))
     tagged = reliable_checkpoint(tagged)
-    totals = tagged.groupBy("_pid").agg(F.sum(weight).alias("_pt"))
+    totals = tagged.groupBy("_pid").agg(*[F.sum(w).alias(f"_pt{i}") for i, w in enumerate(weights)])
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", F.coalesce(F.sum("_pt").over(before), F.lit(0)).alias("_off"))
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_pt{i}").over(before), F.lit(0)).alias(f"_off{i}")
+                                      for i in range(len(weights))])
     local = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(out, F.col("_off") + F.sum(weight).over(local))
-            .drop("_pid", "_off"))
+    out = tagged.join(F.broadcast(offsets), "_pid")
+    for i, (w, o) in enumerate(zip(weights, outs)):
+        out = out.withColumn(o, F.col(f"_off{i}") + F.sum(w).over(local))
+    return out.drop("_pid", *[f"_off{i}" for i in range(len(weights))])
 
 
 def lerp(a: Column, b: Column, t: Column) -> Column:
