@@ -448,3 +448,348 @@ def q_ch_feature_table(spark, sf):
                                          level="data"))
 def q_ch_feature_table_events(spark, sf):
     return rounded(st.feature_table(spark, sf, "ch", "events").select(*[c for c, _ in CH_DERIVED]))
+
+
+# ---------------------------------------------------------------------------
+# tiers and probability reports on the deterministic score (T8, R8-R12,
+# L6, B4-B6)
+# ---------------------------------------------------------------------------
+
+from churnscope.functions.rules import ACTION_PLANS  # noqa: E402
+from churnscope.operators import ml_prep as mp  # noqa: E402
+from churnscope.operators.features import TS_MODEL_FEATURES  # noqa: E402
+
+TIER_SQL = ("CASE WHEN churn_probability > 0.0 AND churn_probability <= 0.3 THEN 'Low' "
+            "WHEN churn_probability > 0.3 AND churn_probability <= 0.5 THEN 'Medium' "
+            "WHEN churn_probability > 0.5 AND churn_probability <= 0.7 THEN 'High' "
+            "WHEN churn_probability > 0.7 AND churn_probability <= 1.0 THEN 'Very High' END")
+
+
+def _scored(spark, sf, kind="ts", source="orders"):
+    return st.score_fixture(spark, sf, source, kind)
+
+
+@register("risk_tiers", sql(
+    f"SELECT CustomerID, churn_probability, {TIER_SQL} AS risk_level FROM ts_data", level="data"))
+def q_risk_tiers(spark, sf):
+    return rp.with_risk_tier(_scored(spark, sf)).select("CustomerID", "churn_probability",
+                                                        "risk_level")
+
+
+@register("tier_summary", sql(f"""
+SELECT t.risk_level, t.tier_order, CAST(coalesce(g.customers, 0) AS BIGINT) AS customers,
+       g.Monetary_mean, g.Monetary_sum, g.Frequency_mean, g.is_churned_mean, g.churn_probability_mean
+FROM (SELECT * FROM (VALUES ('Low', 0), ('Medium', 1), ('High', 2), ('Very High', 3))
+      v(risk_level, tier_order)) t
+LEFT JOIN (
+  SELECT risk_level, count(*) AS customers,
+    {R('avg(Monetary)', 2)} AS Monetary_mean, {R('sum(Monetary)', 2)} AS Monetary_sum,
+    {R('avg(Frequency)', 2)} AS Frequency_mean, {R('avg(is_churned)', 2)} AS is_churned_mean,
+    {R('avg(churn_probability)', 2)} AS churn_probability_mean
+  FROM (SELECT *, {TIER_SQL} AS risk_level FROM ch_data) WHERE risk_level IS NOT NULL
+  GROUP BY risk_level) g ON t.risk_level = g.risk_level""", level="data"))
+def q_tier_summary(spark, sf):
+    return rp.tier_summary(_scored(spark, sf, "ch"))
+
+
+@register("high_risk_totals", sql(
+    f"SELECT count(*) AS customers, {R('avg(Frequency)')} AS mean_frequency, "
+    f"{R('avg(Monetary)')} AS mean_monetary, {R('sum(Monetary)')} AS revenue_at_stake "
+    "FROM ts_data WHERE churn_probability >= 0.7", level="data"))
+def q_high_risk_totals(spark, sf):
+    return rounded(rp.high_risk_totals(_scored(spark, sf)))
+
+
+@register("segment_risk", sql(
+    f"SELECT Segment, {R('avg(churn_probability)', 3)} AS churn_probability_mean, "
+    f"{R('stddev_samp(churn_probability)', 3)} AS churn_probability_std, "
+    f"count(*) AS CustomerID_count, {R('sum(Monetary)', 3)} AS Monetary_sum "
+    "FROM ch_data GROUP BY Segment", level="data"))
+def q_segment_risk(spark, sf):
+    return rp.segment_risk(_scored(spark, sf, "ch"))
+
+
+def _segment_risk_file_sql(kind: str) -> str:
+    src = "ts_data" if kind == "ts" else "ch_data"
+    tail = (f"{R('avg(recent_activity_ratio_30d)', 3)} AS recent_activity_ratio_30d_mean, "
+            f"{R('avg(purchase_interval_trend)', 3)} AS purchase_interval_trend_mean"
+            if kind == "ts" else
+            f"{R('avg(risk_score)', 3)} AS risk_score_mean, "
+            f"{R('avg(recent_activity_ratio_30d)', 3)} AS recent_activity_ratio_30d_mean")
+    return sql(
+        f"SELECT Segment, count(*) AS CustomerID_count, "
+        f"{R('avg(churn_probability)', 3)} AS churn_probability_mean, "
+        f"{R('stddev_samp(churn_probability)', 3)} AS churn_probability_std, "
+        f"{R('avg(is_churned)', 3)} AS is_churned_mean, {R('avg(Monetary)', 3)} AS Monetary_mean, "
+        f"{R('sum(Monetary)', 3)} AS Monetary_sum, {tail} FROM {src} GROUP BY Segment",
+        level="data")
+
+
+@register("segment_risk_file_ts", _segment_risk_file_sql("ts"))
+def q_segment_risk_file_ts(spark, sf):
+    return rp.segment_risk_file(_scored(spark, sf), "ts")
+
+
+@register("segment_risk_file_ch", _segment_risk_file_sql("ch"))
+def q_segment_risk_file_ch(spark, sf):
+    return rp.segment_risk_file(_scored(spark, sf, "ch"), "ch")
+
+
+EARLY = ("coalesce(purchase_interval_trend > 20, false) AND coalesce(recent_activity_ratio_30d < 0.2, false) "
+         "AND is_churned = 0")
+
+
+@register("early_warning_ts", sql(
+    f"SELECT count(*) AS customers, {R('avg(churn_probability)')} AS mean_probability, "
+    f"{R('sum(Monetary)')} AS revenue_at_risk FROM ts_data WHERE {EARLY}", level="data"))
+def q_early_warning_ts(spark, sf):
+    return rounded(rp.early_warning(_scored(spark, sf)))
+
+
+@register("early_warning_ch", sql(
+    f"SELECT count(*) AS customers, {R('avg(churn_probability)')} AS mean_probability, "
+    f"{R('sum(Monetary)')} AS revenue_at_risk FROM ch_data WHERE {EARLY} "
+    "AND churn_probability >= 0.5", level="data"))
+def q_early_warning_ch(spark, sf):
+    return rounded(rp.early_warning(_scored(spark, sf, "ch"), min_probability=0.5))
+
+
+ACTION_ROWS = " UNION ALL ".join(
+    f"SELECT '{seg}' AS Segment, '{act}' AS action, CAST({i + 1} AS INTEGER) AS tactic_no, "
+    f"'{tac}' AS tactic"
+    for seg, (act, tacs) in ACTION_PLANS.items() for i, tac in enumerate(tacs))
+
+
+@register("segment_actions", sql(
+    f"SELECT g.Segment, g.customers, {R('g.mean_probability')} AS mean_probability, d.action, "
+    f"d.tactic_no, d.tactic FROM (SELECT Segment, count(*) AS customers, "
+    f"avg(churn_probability) AS mean_probability FROM ts_data GROUP BY Segment) g "
+    f"JOIN ({ACTION_ROWS}) d ON g.Segment = d.Segment", level="data"))
+def q_segment_actions(spark, sf):
+    return rounded(rp.segment_actions(_scored(spark, sf)))
+
+
+@register("tier_shares", sql(
+    f"SELECT risk_level, customers, {R('customers * 100.0 / CAST(total AS DOUBLE)')} AS pct FROM ("
+    f"SELECT risk_level, count(*) AS customers, sum(count(*)) OVER () AS total FROM "
+    f"(SELECT {TIER_SQL} AS risk_level FROM ts_data) GROUP BY risk_level) WHERE risk_level IS NOT NULL",
+    level="data"))
+def q_tier_shares(spark, sf):
+    return rounded(rp.tier_shares(_scored(spark, sf)))
+
+
+@register("probability_histogram", sql(
+    "SELECT d.is_churned, CAST(CASE WHEN r.hi - r.lo = 0 THEN 15 ELSE "
+    "least(floor((d.churn_probability - r.lo) * (30.0 / (r.hi - r.lo))), 29) END AS INTEGER) AS bin, "
+    "count(*) AS customers FROM ts_data d JOIN (SELECT is_churned, min(churn_probability) AS lo, "
+    "max(churn_probability) AS hi FROM ts_data GROUP BY is_churned) r ON d.is_churned = r.is_churned "
+    "GROUP BY 1, 2", level="data"))
+def q_probability_histogram(spark, sf):
+    return rp.probability_histogram(_scored(spark, sf))
+
+
+@register("mean_probability_by_segment", sql(
+    f"SELECT Segment, {R('avg(churn_probability)')} AS mean_probability, "
+    f"{R('sum(sum(churn_probability)) OVER () / CAST(sum(count(*)) OVER () AS DOUBLE)')} AS overall_mean "
+    "FROM ch_data GROUP BY Segment ORDER BY mean_probability DESC, Segment LIMIT 10", level="data"))
+def q_mean_probability_by_segment(spark, sf):
+    return rounded(rp.mean_probability_by_segment(_scored(spark, sf, "ch")))
+
+
+# ---------------------------------------------------------------------------
+# evaluation (V1-V7) on (is_churned, score)
+# ---------------------------------------------------------------------------
+
+CUM = """sc AS (SELECT churn_probability AS score, count_if(is_churned = 1) AS pos,
+                   count_if(is_churned = 0) AS neg FROM ts_data GROUP BY churn_probability),
+cum AS (SELECT *, sum(pos) OVER (ORDER BY score) AS cpos, sum(neg) OVER (ORDER BY score) AS cneg,
+               sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM sc),
+pts AS (SELECT score, P - (cpos - pos) AS tp, N - (cneg - neg) AS fp, P, N FROM cum)"""
+
+
+def _metric_sql(body: str) -> str:
+    return O.with_ctes(*O.data_prefix("orders", 120), CUM, body=body)
+
+
+@register("score_auc", _metric_sql(
+    "SELECT CAST(sum(2 * pos * (cneg - neg) + pos * neg) AS DOUBLE) / "
+    "CAST(2 * max(P) * max(N) AS DOUBLE) AS auc FROM cum"))
+def q_score_auc(spark, sf):
+    return mt.auc(_scored(spark, sf))
+
+
+@register("roc_points", _metric_sql(
+    "SELECT score AS threshold, CAST(fp AS DOUBLE) / CAST(N AS DOUBLE) AS fpr, "
+    "CAST(tp AS DOUBLE) / CAST(P AS DOUBLE) AS tpr FROM pts"))
+def q_roc_points(spark, sf):
+    return mt.roc_points(_scored(spark, sf))
+
+
+@register("pr_points", _metric_sql(
+    "SELECT score AS threshold, CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) AS precision, "
+    "CAST(tp AS DOUBLE) / CAST(P AS DOUBLE) AS recall FROM pts"))
+def q_pr_points(spark, sf):
+    return mt.pr_points(_scored(spark, sf))
+
+
+@register("best_f1_threshold", _metric_sql(
+    "SELECT threshold, f1, precision, recall FROM (SELECT threshold, precision, recall, "
+    "2.0 * (precision * recall) / (precision + recall + 1e-10) AS f1 FROM ("
+    "SELECT score AS threshold, CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) AS precision, "
+    "CAST(tp AS DOUBLE) / CAST(P AS DOUBLE) AS recall FROM pts)) ORDER BY f1 DESC, threshold LIMIT 1"))
+def q_best_f1_threshold(spark, sf):
+    return mt.best_f1_threshold(_scored(spark, sf))
+
+
+@register("score_metrics", sql(
+    "SELECT coalesce(CAST(tp AS DOUBLE) / nullif(CAST(tp + fp AS DOUBLE), 0), 0.0) AS precision, "
+    "coalesce(CAST(tp AS DOUBLE) / nullif(CAST(tp + fn AS DOUBLE), 0), 0.0) AS recall, "
+    "coalesce(2.0 * tp / nullif(2.0 * tp + fp + fn, 0), 0.0) AS f1, "
+    "CAST(tp + tn AS DOUBLE) / CAST(tp + tn + fp + fn AS DOUBLE) AS accuracy FROM ("
+    "SELECT count_if(churn_probability > 0.5 AND is_churned = 1) AS tp, "
+    "count_if(churn_probability > 0.5 AND is_churned = 0) AS fp, "
+    "count_if(NOT churn_probability > 0.5 AND is_churned = 1) AS fn, "
+    "count_if(NOT churn_probability > 0.5 AND is_churned = 0) AS tn FROM ts_data)", level="data"))
+def q_score_metrics(spark, sf):
+    return mt.classification_metrics(_scored(spark, sf))
+
+
+@register("confusion", sql(
+    "SELECT c.actual, c.predicted, CAST(coalesce(g.customers, 0) AS BIGINT) AS customers FROM "
+    "(SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(actual, predicted)) c LEFT JOIN "
+    "(SELECT is_churned AS actual, CAST(churn_probability > 0.5 AS INTEGER) AS predicted, "
+    "count(*) AS customers FROM ts_data GROUP BY 1, 2) g "
+    "ON c.actual = g.actual AND c.predicted = g.predicted", level="data"))
+def q_confusion(spark, sf):
+    return mt.confusion(_scored(spark, sf))
+
+
+CORR_FEATURES = ["purchase_interval_trend", "frequency_trend", "amount_trend_ratio",
+                 "recent_activity_ratio_30d"]
+
+
+@register("trend_correlations", sql(" UNION ALL ".join(
+    f"SELECT '{f}' AS feature, {R(f'corr(CAST({f} AS DOUBLE), churn_probability)')} AS correlation "
+    "FROM ts_data" for f in CORR_FEATURES), level="data"))
+def q_trend_correlations(spark, sf):
+    return rounded(mt.correlations(_scored(spark, sf), CORR_FEATURES))
+
+
+# ---------------------------------------------------------------------------
+# campaign economics
+# ---------------------------------------------------------------------------
+
+def _econ_sql(src: str, thresholds: list[float], value: str, select: str) -> str:
+    vals = ", ".join(f"(CAST({t!r} AS DOUBLE))" for t in thresholds)
+    return sql(f"""
+, v AS (SELECT {value} AS value FROM {src}),
+th AS (SELECT * FROM (VALUES {vals}) t(threshold)),
+n AS (SELECT th.threshold, (SELECT count(*) FROM {src} d WHERE d.churn_probability >= th.threshold
+                             AND d.is_churned = 0) AS targets FROM th),
+e AS (SELECT threshold, targets, targets * 5.0 AS cost, targets * 0.25 AS reactivations,
+             targets * 0.25 * value AS revenue,
+             targets * 0.25 * value - targets * 5.0 AS profit,
+             CASE WHEN targets * 5.0 > 0 THEN (targets * 0.25 * value - targets * 5.0)
+                  / (targets * 5.0) * 100.0 ELSE 0.0 END AS roi
+      FROM n, v)
+{select}""", level="data").replace("\n\n, v AS", ", v AS").replace(")\n, v AS", "), v AS")
+
+
+ECON_COLS = ("threshold, targets, " + R("cost") + " AS cost, " + R("reactivations")
+             + " AS reactivations, " + R("revenue") + " AS revenue, " + R("profit")
+             + " AS profit, " + R("roi") + " AS roi")
+
+
+@register("campaign_roi_ts", _econ_sql("ts_data", [0.5, 0.6, 0.7], "avg(avg_order_value)",
+                                       f"SELECT {ECON_COLS} FROM e"))
+def q_campaign_roi_ts(spark, sf):
+    return rounded(cp.campaign_roi(_scored(spark, sf), [0.5, 0.6, 0.7], value_scope="all"))
+
+
+@register("campaign_roi_ch", _econ_sql(
+    "ch_data", [0.5, 0.6, 0.7, 0.8],
+    "avg(CASE WHEN is_churned = 0 THEN avg_order_value END)", f"SELECT {ECON_COLS} FROM e"))
+def q_campaign_roi_ch(spark, sf):
+    return rounded(cp.campaign_roi(_scored(spark, sf, "ch"), [0.5, 0.6, 0.7, 0.8],
+                                   value_scope="active"))
+
+
+@register("roi_curve", _econ_sql(
+    "ch_data", cp.sweep_thresholds(), "avg(CASE WHEN is_churned = 0 THEN avg_order_value END)",
+    f"SELECT threshold, targets, {R('roi')} AS roi FROM e"))
+def q_roi_curve(spark, sf):
+    return rounded(cp.roi_curve(_scored(spark, sf, "ch")))
+
+
+@register("roi_best_threshold", _econ_sql(
+    "ch_data", cp.sweep_thresholds(), "avg(CASE WHEN is_churned = 0 THEN avg_order_value END)",
+    "SELECT coalesce(b.threshold, 0.5) AS threshold, " + R("b.roi") + " AS roi, b.targets "
+    "FROM (SELECT 1 AS one) d LEFT JOIN (SELECT threshold, roi, targets FROM e WHERE targets > 10 "
+    "ORDER BY floor(roi * 1000000.0 + 0.5) DESC, threshold LIMIT 1) b ON true"))
+def q_roi_best_threshold(spark, sf):
+    return rounded(cp.best_threshold(_scored(spark, sf, "ch")))
+
+
+# ---------------------------------------------------------------------------
+# split, scaling, weights (M1-M5)
+# ---------------------------------------------------------------------------
+
+SPLIT_SQL = """
+, rk AS (SELECT CustomerID, is_churned,
+            row_number() OVER (PARTITION BY is_churned ORDER BY md5('42-' || CAST(CustomerID AS VARCHAR)), CustomerID) AS r,
+            count(*) OVER (PARTITION BY is_churned) AS nc FROM ts_data),
+cuts AS (SELECT *, CAST(ceil(0.3 * CAST(nc AS DOUBLE)) AS BIGINT) AS held FROM rk),
+splt AS (SELECT CustomerID, is_churned,
+         CASE WHEN r <= nc - held THEN 'train'
+              WHEN r <= nc - held + (held - CAST(ceil(0.5 * CAST(held AS DOUBLE)) AS BIGINT)) THEN 'val'
+              ELSE 'test' END AS split FROM cuts)"""
+
+
+def _split_sql(select: str) -> str:
+    return O.with_ctes(*O.data_prefix("orders", 120), body="").rstrip("\n") + SPLIT_SQL + "\n" + select
+
+
+def _split(spark, sf):
+    return mp.stratified_split(st.feature_table(spark, sf, "ts"))
+
+
+@register("stratified_split", _split_sql("SELECT CustomerID, is_churned, split FROM splt"))
+def q_stratified_split(spark, sf):
+    return _split(spark, sf).select("CustomerID", "is_churned", "split")
+
+
+@register("split_summary", _split_sql(
+    "SELECT split, count(*) AS customers, sum(is_churned) / CAST(count(*) AS DOUBLE) AS churn_rate "
+    "FROM splt GROUP BY split"))
+def q_split_summary(spark, sf):
+    return mp.split_summary(_split(spark, sf))
+
+
+def _scaler_sql() -> str:
+    parts = []
+    for f in TS_MODEL_FEATURES:
+        x = f"CASE WHEN {f} IS NULL OR isnan(CAST({f} AS DOUBLE)) OR isinf(CAST({f} AS DOUBLE)) THEN 0.0 ELSE CAST({f} AS DOUBLE) END"
+        parts.append(f"SELECT '{f}' AS feature, {R(f'avg({x})')} AS mean, {R(f'stddev_pop({x})')} AS std "
+                     "FROM ts_data JOIN splt USING (CustomerID) WHERE splt.split = 'train'")
+    return _split_sql(" UNION ALL ".join(parts))
+
+
+@register("scaler_stats", _scaler_sql())
+def q_scaler_stats(spark, sf):
+    from churnscope.operators.features import model_frame
+    split = _split(spark, sf).select("CustomerID", "split")
+    frame = model_frame(st.feature_table(spark, sf, "ts"), "ts").join(split, "CustomerID")
+    train = frame.filter(F.col("split") == "train")
+    return rounded(mp.scaler_stats(train, TS_MODEL_FEATURES))
+
+
+@register("class_weights", _split_sql(
+    "SELECT label, n_class, CAST(total AS DOUBLE) / (2.0 * CAST(n_class AS DOUBLE)) AS balanced_weight, "
+    "CAST(neg AS DOUBLE) / CAST(greatest(pos, 1) AS DOUBLE) AS pos_weight FROM ("
+    "SELECT is_churned AS label, count(*) AS n_class, sum(count(*)) OVER () AS total, "
+    "sum(CASE WHEN is_churned = 0 THEN count(*) ELSE 0 END) OVER () AS neg, "
+    "sum(CASE WHEN is_churned = 1 THEN count(*) ELSE 0 END) OVER () AS pos "
+    "FROM splt WHERE split = 'train' GROUP BY is_churned)"))
+def q_class_weights(spark, sf):
+    train = _split(spark, sf).filter(F.col("split") == "train")
+    return mp.class_weights(train)

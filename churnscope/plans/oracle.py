@@ -321,7 +321,8 @@ ch_d0 AS (
   FROM rfm r LEFT JOIN ch_feat f ON r.CustomerID = f.CustomerID
 ),
 ch_data AS (
-  SELECT *, interval_risk + activity_risk + monetary_risk + frequency_risk AS risk_score
+  SELECT *, interval_risk + activity_risk + monetary_risk + frequency_risk AS risk_score,
+         floor((1.0 - coalesce(recent_activity_ratio_90d, 0.0)) * 1000000.0 + 0.5) / 1000000.0 AS churn_probability
   FROM ch_d0
 )"""
 

@@ -71,11 +71,13 @@ def feature_table(spark: SparkSession, sf_dir: str, kind: str = "ts",
                             sequence_stats(spark, sf_dir, source), kind, p)
 
 
-def score_fixture(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataFrame:
+def score_fixture(spark: SparkSession, sf_dir: str, source: str = "orders",
+                  kind: str = "ts") -> DataFrame:
     """A deterministic stand-in for a model score, for oracle-checking the
-    evaluation and campaign operators: ``round(1 - recent_activity_90d, 6)``
-    joined to the TS feature table (so every report column is present)."""
-    data = feature_table(spark, sf_dir, "ts", source)
+    evaluation, tier and campaign operators without a trained model:
+    ``round(1 - recent_activity_ratio_90d, 6)`` on the feature table of the
+    ``kind`` step (so every report column is present)."""
+    data = feature_table(spark, sf_dir, kind, source)
     score = F.floor((F.lit(1.0) - F.coalesce(F.col("recent_activity_ratio_90d"), F.lit(0.0)))
                     * 1e6 + 0.5) / 1e6
     return data.withColumn("churn_probability", score.cast("double"))
