@@ -793,3 +793,54 @@ def q_scaler_stats(spark, sf):
 def q_class_weights(spark, sf):
     train = _split(spark, sf).filter(F.col("split") == "train")
     return mp.class_weights(train)
+
+
+# ---------------------------------------------------------------------------
+# models (E1-E11, M6, S10): rows-only checks
+# ---------------------------------------------------------------------------
+
+from churnscope.plans import modeling as mdl  # noqa: E402
+
+
+@register("model_comparison_ts")
+def q_model_comparison_ts(spark, sf):
+    return mdl.ts_step(spark, sf).results
+
+
+@register("churn_predictions_ts")
+def q_churn_predictions_ts(spark, sf):
+    return mdl.predictions_export(mdl.ts_step(spark, sf))
+
+
+@register("feature_importance_ts")
+def q_feature_importance_ts(spark, sf):
+    return mdl.ts_step(spark, sf).importance
+
+
+@register("model_comparison_ch")
+def q_model_comparison_ch(spark, sf):
+    return mdl.ch_step(spark, sf).results
+
+
+@register("model_performance_final")
+def q_model_performance_final(spark, sf):
+    return mdl.ch_step(spark, sf).summary
+
+
+@register("churn_predictions_ch")
+def q_churn_predictions_ch(spark, sf):
+    return mdl.predictions_export(mdl.ch_step(spark, sf))
+
+
+@register("feature_importance_ch")
+def q_feature_importance_ch(spark, sf):
+    return mdl.ch_step(spark, sf).importance
+
+
+@register("smote_train")
+def q_smote_train(spark, sf):
+    from churnscope.operators.features import feature_names, model_frame
+    feats = feature_names("ch")
+    frame = mp.stratified_split(model_frame(st.feature_table(spark, sf, "ch"), "ch"))
+    train = frame.filter(F.col("split") == "train")
+    return mp.smote_oversample(mp.standardize(train, mp.scaler_stats(train, feats), feats), feats)
