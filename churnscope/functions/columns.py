@@ -45,10 +45,14 @@ def half_up(col: Column, digits: int) -> Column:
 
     Written the same way in the SQL oracle, so both engines give the same
     double. (pandas rounds half-to-even; the two differ only on exact ties.)
+    Magnitudes of 1e12 and more are returned as they are: a double has no
+    digits left at that scale, and ``floor`` must not overflow a bigint.
     """
     scale = float(10 ** digits)
-    return (F.floor(col.cast("double") * F.lit(scale) + F.lit(0.5))
-            .cast("double") / F.lit(scale))
+    x = col.cast("double")
+    return (F.when(F.abs(x) < F.lit(1e12),
+                   F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale))
+            .otherwise(x))
 
 
 def true_or_false(cond: Column) -> Column:

@@ -142,8 +142,9 @@ def smote_oversample(train: DataFrame, features: list[str], label: str = "is_chu
         proj = F.aggregate(F.zip_with("v", F.array(*[F.lit(x) for x in w]), lambda a, b: a * b),
                            F.lit(0.0), lambda acc, x: acc + x)
         ranked = global_rank(mino.select(C, proj.alias("p")), [F.col("p"), F.col(C)], "r")
-        offs = F.explode(F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0]))
-        probe = ranked.select(F.col(C).alias("a"), (F.col("r") + offs).alias("r"))
+        offs = F.explode(F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0])).alias("o")
+        probe = (ranked.select(F.col(C).alias("a"), "r", offs)
+                 .select("a", (F.col("r") + F.col("o")).alias("r")))
         pairs = probe.join(ranked.select(F.col(C).alias("b"), "r"), "r").select("a", "b")
         cand = pairs if cand is None else cand.unionByName(pairs)
     cand = cand.distinct()

@@ -839,8 +839,47 @@ def q_feature_importance_ch(spark, sf):
 
 @register("smote_train")
 def q_smote_train(spark, sf):
+    """M6 on the events fixture, whose churned class is the minority."""
     from churnscope.operators.features import feature_names, model_frame
     feats = feature_names("ch")
-    frame = mp.stratified_split(model_frame(st.feature_table(spark, sf, "ch"), "ch"))
+    frame = mp.stratified_split(model_frame(st.feature_table(spark, sf, "ch", "events"), "ch"))
     train = frame.filter(F.col("split") == "train")
     return mp.smote_oversample(mp.standardize(train, mp.scaler_stats(train, feats), feats), feats)
+
+
+@register("high_risk_predictions_ts")
+def q_high_risk_predictions_ts(spark, sf):
+    return mdl.high_risk_export(mdl.ts_step(spark, sf), "ts")
+
+
+@register("high_risk_predictions_ch")
+def q_high_risk_predictions_ch(spark, sf):
+    return mdl.high_risk_export(mdl.ch_step(spark, sf), "ch")
+
+
+# ---------------------------------------------------------------------------
+# more oracle-checked operators: describe of R/F/M (Q7), trend sample
+# ---------------------------------------------------------------------------
+
+def _describe_rfm_sql() -> str:
+    parts = []
+    for c in ["Recency", "Frequency", "Monetary"]:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS \"column\", count({x}) AS count, {R(f'avg({x})')} AS mean, "
+            f"{R(f'stddev_samp({x})')} AS std, {R(f'min({x})')} AS min, "
+            f"{R(f'quantile_cont({x}, 0.25)')} AS p25, {R(f'quantile_cont({x}, 0.5)')} AS p50, "
+            f"{R(f'quantile_cont({x}, 0.75)')} AS p75, {R(f'max({x})')} AS max FROM rfm")
+    return sql(" UNION ALL ".join(parts))
+
+
+@register("describe_rfm", _describe_rfm_sql())
+def q_describe_rfm(spark, sf):
+    return rounded(cl.describe_columns(st.rfm_table(spark, sf), ["Recency", "Frequency", "Monetary"]))
+
+
+@register("trend_sample", sql(
+    "SELECT CustomerID FROM rfm WHERE Frequency >= 2 "
+    "ORDER BY md5('42|' || CAST(CustomerID AS VARCHAR)), CustomerID LIMIT 1000"))
+def q_trend_sample(spark, sf):
+    return sq.sample_customers(st.rfm_table(spark, sf), 1000)

@@ -119,6 +119,19 @@ def _ch_step(spark, sf_dir, source, cv_folds):
     return StepResult(results, best, preds, imp, summary)
 
 
+def high_risk_export(result: StepResult, kind: str = "ts",
+                     threshold: float = DEFAULT.high_risk_probability) -> DataFrame:
+    """Customers with probability ≥ threshold. The time-series
+    step keeps its scoring order and adds the interval trend; the
+    integrated step sorts by probability and adds the risk score."""
+    base = ["CustomerID", "Segment", "churn_probability", "Recency", "Frequency", "Monetary"]
+    x = result.predictions.filter(F.col("churn_probability") >= threshold)
+    if kind == "ts":
+        return x.select(*base, "recent_activity_ratio_30d", "purchase_interval_trend")
+    return x.select(*base, "risk_score", "recent_activity_ratio_30d").orderBy(
+        F.desc("churn_probability"), "CustomerID")
+
+
 def predictions_export(result: StepResult) -> DataFrame:
     """The predictions file, probability descending (distributed sort)."""
     return result.predictions.select(*PREDICTION_COLUMNS).orderBy(

@@ -259,7 +259,8 @@ def seq_prefix(source: str = "orders", churn_days: int = 120) -> list[str]:
 
 def half_up_sql(expr: str, digits: int = 6) -> str:
     scale = f"{10 ** digits}.0"
-    return f"floor(CAST({expr} AS DOUBLE) * {scale} + 0.5) / {scale}"
+    x = f"CAST({expr} AS DOUBLE)"
+    return f"(CASE WHEN abs({x}) < 1e12 THEN floor({x} * {scale} + 0.5) / {scale} ELSE {x} END)"
 
 
 def select_rounded(columns: list[tuple[str, bool]], source: str, digits: int = 6) -> str:

@@ -66,9 +66,15 @@ def sequence_stats(spark: SparkSession, sf_dir: str, source: str = "orders") ->
 
 def feature_table(spark: SparkSession, sf_dir: str, kind: str = "ts",
                   source: str = "orders") -> DataFrame:
+    """``rfm ⟕ sequence features`` + derived columns, materialised once per
+    session (reliable checkpoint): many reports and every model read it."""
+    from churnscope.operators.ranking import reliable_checkpoint
     p = params_for(source)
-    return ft.feature_table(rfm_internal(spark, sf_dir, source),
-                            sequence_stats(spark, sf_dir, source), kind, p)
+
+    def build():
+        return reliable_checkpoint(ft.feature_table(
+            rfm_internal(spark, sf_dir, source), sequence_stats(spark, sf_dir, source), kind, p))
+    return _memo(spark, ("features", sf_dir, kind, source), build)
 
 
 def score_fixture(spark: SparkSession, sf_dir: str, source: str = "orders",

@@ -4,10 +4,10 @@ from churnscope.sources.transactions import (
     TRANSACTION_SCHEMA, CSV_SCHEMA, read_transactions, read_table,
     transactions_from_orders, transactions_from_events, edge_transactions,
 )
-from churnscope.sources.writers import write_table, read_written
+from churnscope.sources.writers import load_model, read_written, save_model, write_table
 
 __all__ = [
     "TRANSACTION_SCHEMA", "CSV_SCHEMA", "read_transactions", "read_table",
     "transactions_from_orders", "transactions_from_events",
-    "edge_transactions", "write_table", "read_written",
+    "edge_transactions", "write_table", "read_written", "save_model", "load_model",
 ]
