@@ -40,7 +40,7 @@ def main() -> None:
     from churnscope.plans import steps
     from churnscope.plans.catalog import QUERIES
     from churnscope.session import get_spark
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus))
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", cpus)))
     # warm-up: JVM, class loading, Parquet footers (not timed)
     QUERIES["analysis_date"](spark, sf_dir).collect()
     times = {}

@@ -40,6 +40,18 @@ def to_double(col: Column) -> Column:
     return col.cast("double")
 
 
+def cents(price: Column, quantity: Column) -> Column:
+    """Line amount in integer cents: exact, and summed as a 64-bit integer
+    (a ``decimal(33,2)`` sum would run on BigDecimal objects)."""
+    return (price * F.lit(100)).cast("bigint") * quantity.cast("bigint")
+
+
+def money(cents_col: Column) -> Column:
+    """Integer cents → currency as double (the correctly rounded value,
+    identical to casting the exact decimal sum)."""
+    return cents_col.cast("double") / F.lit(100.0)
+
+
 def half_up(col: Column, digits: int) -> Column:
     """Round half up on the binary value: ``floor(x·10^d + 0.5) / 10^d``.
 

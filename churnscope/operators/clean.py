@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnscope.functions.columns import elapsed_days, is_return, safe_div, to_double
+from churnscope.functions.columns import cents, elapsed_days, is_return, safe_div, to_double
 from churnscope.operators.ranking import exact_quantiles
 
 
@@ -21,7 +21,8 @@ def with_return_flag(tx: DataFrame) -> DataFrame:
 
 def valid_sales(tx: DataFrame, country: str | None = None) -> DataFrame:
     """P3 + P4 + P5: positive quantity and price, not a return, known
-    customer, optional country scope; adds ``TotalAmount`` (exact decimal).
+    customer, optional country scope; adds ``TotalAmount`` (exact decimal)
+    and ``amount_cents`` (the same amount as a bigint, used by aggregates).
 
     All predicates are simple comparisons on scan columns, so they reach
     the Parquet reader as pushed filters."""
@@ -29,8 +30,9 @@ def valid_sales(tx: DataFrame, country: str | None = None) -> DataFrame:
             & ~is_return("InvoiceNo") & F.col("CustomerID").isNotNull())
     if country is not None:
         cond = cond & (F.col("Country") == F.lit(country))
-    return tx.filter(cond).withColumn(
-        "TotalAmount", F.col("Quantity").cast("decimal(10,0)") * F.col("UnitPrice"))
+    return (tx.filter(cond)
+            .withColumn("TotalAmount", F.col("Quantity").cast("decimal(10,0)") * F.col("UnitPrice"))
+            .withColumn("amount_cents", cents(F.col("UnitPrice"), F.col("Quantity"))))
 
 
 def country_scope(clean: DataFrame, country: str | None) -> DataFrame:

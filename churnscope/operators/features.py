@@ -118,7 +118,7 @@ def feature_table(rfm_internal: DataFrame, stats: DataFrame, kind: str = "ts",
 
 def rfm_internal_columns() -> list[str]:
     from churnscope.operators.rfm import RFM_COLUMNS
-    return RFM_COLUMNS + ["first_purchase", "last_purchase", "analysis_date"]
+    return RFM_COLUMNS + ["Monetary_exact", "first_purchase", "last_purchase", "analysis_date"]
 
 
 def model_frame(features: DataFrame, kind: str = "ts") -> DataFrame:

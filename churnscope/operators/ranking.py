@@ -32,6 +32,17 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    read it back: lineage is cut, and later scans still get column pruning
+    and filter pushdown (unlike an RDD checkpoint)."""
+    import uuid
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/churnscope-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return num_partitions

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnscope.config import DEFAULT
-from churnscope.functions.columns import half_up, safe_div, to_double, true_or_false
+from churnscope.functions.columns import half_up, money, safe_div, true_or_false
 from churnscope.functions.rules import ACTION_PLANS, RISK_TIERS, SEGMENT_STRATEGY, risk_tier
 
 def _all():
@@ -24,6 +24,15 @@ def _mean(col: str):
     return F.sum(col).cast("double") / F.count(F.lit(1)).cast("double")
 
 
+def _revenue():
+    """Exact revenue of a group: the integer-cent sum as currency."""
+    return money(F.sum("Monetary_exact"))
+
+
+def _mean_revenue():
+    return money(F.sum("Monetary_exact")) / F.count(F.lit(1)).cast("double")
+
+
 def segment_sizes(rfm: DataFrame) -> DataFrame:
     """Customers per segment and share of all customers (%)."""
     g = rfm.groupBy("Segment").agg(F.count(F.lit(1)).alias("customers"))
@@ -62,8 +71,8 @@ def high_value_share(rfm: DataFrame) -> DataFrame:
         "high_value_customers",
         (F.col("high_value_customers").cast("double") * 100.0
          / F.col("customers").cast("double")).alias("high_value_pct"),
-        (to_double(F.coalesce(F.col("_hv_rev"), F.lit(0))) * 100.0
-         / to_double(F.col("_rev"))).alias("revenue_share_pct"))
+        (money(F.coalesce(F.col("_hv_rev"), F.lit(0))) * 100.0
+         / money(F.col("_rev"))).alias("revenue_share_pct"))
 
 
 def segment_summary(rfm: DataFrame) -> DataFrame:
@@ -72,9 +81,9 @@ def segment_summary(rfm: DataFrame) -> DataFrame:
     g = rfm.groupBy("Segment").agg(
         half_up(_mean("Recency"), 2).alias("Avg_Recency"),
         half_up(_mean("Frequency"), 2).alias("Avg_Frequency"),
-        half_up(to_double(F.sum("Monetary_exact")) / F.count(F.lit(1)).cast("double"), 2)
+        half_up(money(F.sum("Monetary_exact")) / F.count(F.lit(1)).cast("double"), 2)
         .alias("Avg_Monetary"),
-        half_up(to_double(F.sum("Monetary_exact")), 2).alias("Total_Revenue"),
+        half_up(money(F.sum("Monetary_exact")), 2).alias("Total_Revenue"),
         half_up(F.avg("avg_order_value"), 2).alias("Avg_AOV"),
         half_up(_mean("is_churned"), 2).alias("Churn_Rate"),
         F.sum("is_high_value").cast("bigint").alias("High_Value_Count"),
@@ -82,7 +91,7 @@ def segment_summary(rfm: DataFrame) -> DataFrame:
         F.sum("Monetary_exact").alias("_rev"))
     total = F.sum("_rev").over(_all())
     return (g.withColumn("Revenue_Contribution",
-                         half_up(F.col("Total_Revenue") / to_double(total) * 100.0, 1))
+                         half_up(F.col("Total_Revenue") / money(total) * 100.0, 1))
             .drop("_rev"))
 
 
@@ -96,7 +105,7 @@ def at_risk_revenue(rfm: DataFrame, segments=DEFAULT.high_risk_segments) -> Data
     """Customers and revenue at stake in the at-risk segments."""
     return (rfm.filter(F.col("Segment").isin(*segments)).groupBy("Segment")
             .agg(F.count(F.lit(1)).alias("customers"),
-                 to_double(F.sum("Monetary_exact")).alias("revenue")))
+                 money(F.sum("Monetary_exact")).alias("revenue")))
 
 
 def high_risk_list(rfm: DataFrame, segments=DEFAULT.high_risk_segments) -> DataFrame:
@@ -149,8 +158,8 @@ def tier_summary(scored: DataFrame, prob: str = "churn_probability",
                  "risk_level string, tier_order int")
     x = with_risk_tier(scored, prob).filter(F.col("risk_level").isNotNull())
     aggs = [F.count(F.lit(1)).alias("customers"),
-            half_up(F.avg("Monetary"), 2).alias("Monetary_mean"),
-            half_up(F.sum("Monetary"), 2).alias("Monetary_sum"),
+            half_up(_mean_revenue(), 2).alias("Monetary_mean"),
+            half_up(_revenue(), 2).alias("Monetary_sum"),
             half_up(F.avg("Frequency"), 2).alias("Frequency_mean"),
             half_up(F.avg("is_churned"), 2).alias("is_churned_mean")]
     if with_probability:
@@ -167,8 +176,8 @@ def high_risk_totals(scored: DataFrame, prob: str = "churn_probability",
     x = scored.filter(F.col(prob) >= threshold)
     return x.agg(F.count(F.lit(1)).alias("customers"),
                  F.avg("Frequency").alias("mean_frequency"),
-                 F.avg("Monetary").alias("mean_monetary"),
-                 F.sum("Monetary").alias("revenue_at_stake"))
+                 _mean_revenue().alias("mean_monetary"),
+                 _revenue().alias("revenue_at_stake"))
 
 
 def segment_risk(scored: DataFrame, prob: str = "churn_probability") -> DataFrame:
@@ -178,7 +187,7 @@ def segment_risk(scored: DataFrame, prob: str = "churn_probability") -> DataFram
         half_up(F.avg(prob), 3).alias("churn_probability_mean"),
         half_up(F.stddev_samp(prob), 3).alias("churn_probability_std"),
         F.count(F.lit(1)).alias("CustomerID_count"),
-        half_up(F.sum("Monetary"), 3).alias("Monetary_sum"))
+        half_up(_revenue(), 3).alias("Monetary_sum"))
     return g.orderBy(F.desc("churn_probability_mean"), "Segment")
 
 
@@ -190,8 +199,8 @@ def segment_risk_file(scored: DataFrame, kind: str = "ts",
             half_up(F.avg(prob), 3).alias("churn_probability_mean"),
             half_up(F.stddev_samp(prob), 3).alias("churn_probability_std"),
             half_up(F.avg("is_churned"), 3).alias("is_churned_mean"),
-            half_up(F.avg("Monetary"), 3).alias("Monetary_mean"),
-            half_up(F.sum("Monetary"), 3).alias("Monetary_sum")]
+            half_up(_mean_revenue(), 3).alias("Monetary_mean"),
+            half_up(_revenue(), 3).alias("Monetary_sum")]
     if kind == "ts":
         cols += [half_up(F.avg("recent_activity_ratio_30d"), 3).alias("recent_activity_ratio_30d_mean"),
                  half_up(F.avg(last), 3).alias(f"{last}_mean")]
@@ -213,7 +222,7 @@ def early_warning(scored: DataFrame, prob: str = "churn_probability",
         cond = cond & (F.col(prob) >= min_probability)
     return scored.filter(cond).agg(F.count(F.lit(1)).alias("customers"),
                                    F.avg(prob).alias("mean_probability"),
-                                   F.sum("Monetary").alias("revenue_at_risk"))
+                                   _revenue().alias("revenue_at_risk"))
 
 
 # -- chart tables ------------------------------------------------------------
@@ -221,8 +230,8 @@ def early_warning(scored: DataFrame, prob: str = "churn_probability",
 def revenue_share_by_segment(rfm: DataFrame, n: int = 10) -> DataFrame:
     """B1."""
     g = rfm.groupBy("Segment").agg(F.sum("Monetary_exact").alias("_rev"))
-    return (g.select("Segment", (to_double(F.col("_rev")) * 100.0
-                                 / to_double(F.sum("_rev").over(_all()))).alias("revenue_pct"))
+    return (g.select("Segment", (money(F.col("_rev")) * 100.0
+                                 / money(F.sum("_rev").over(_all()))).alias("revenue_pct"))
             .orderBy(F.desc("revenue_pct"), "Segment").limit(n))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnscope.config import DEFAULT, Params
-from churnscope.functions.columns import elapsed_days, safe_div, to_double
+from churnscope.functions.columns import elapsed_days, money, safe_div, to_double
 from churnscope.functions.rules import quintile, segment_of
 from churnscope.operators.ranking import global_rank, quantile_from_rank
 
@@ -30,13 +30,17 @@ def rfm_base(clean: DataFrame, ad: DataFrame | None = None) -> DataFrame:
     """A2-A7 in one per-customer aggregate (the lifetime "merge" of the
     original becomes two more aggregate columns, no join).
 
-    Keeps the exact decimal sum as ``Monetary_exact`` for ranking."""
-    ad = analysis_date(clean) if ad is None else ad
+    Keeps the exact sum in integer cents as ``Monetary_exact`` for ranking. Without
+    ``ad`` the analysis date is taken from the per-customer last purchase
+    (the same aggregate, its exchange reused) instead of another scan."""
     base = clean.groupBy("CustomerID").agg(
         F.max("InvoiceDate").alias("_last"),
         F.min("InvoiceDate").alias("_first"),
         F.count_distinct("InvoiceNo").alias("Frequency"),
-        F.sum("TotalAmount").alias("Monetary_exact"))
+        F.sum("amount_cents").alias("Monetary_exact"))
+    if ad is None:
+        ad = base.agg((F.max("_last") + F.expr("INTERVAL 1 DAY"))
+                      .cast("timestamp_ntz").alias("analysis_date"))
     # one-row scalar: broadcasting it is bounded by construction
     base = base.crossJoin(F.broadcast(ad))
     lifetime = elapsed_days(F.col("_first"), F.col("_last"))
@@ -44,9 +48,9 @@ def rfm_base(clean: DataFrame, ad: DataFrame | None = None) -> DataFrame:
         "CustomerID",
         elapsed_days(F.col("_last"), F.col("analysis_date")).alias("Recency"),
         "Frequency",
-        to_double(F.col("Monetary_exact")).alias("Monetary"),
+        money(F.col("Monetary_exact")).alias("Monetary"),
         "Monetary_exact",
-        safe_div(to_double(F.col("Monetary_exact")), F.col("Frequency").cast("double"))
+        safe_div(money(F.col("Monetary_exact")), F.col("Frequency").cast("double"))
         .alias("avg_order_value"),
         lifetime.alias("customer_lifetime_days"),
         F.when(F.col("Frequency") > 1,
@@ -94,7 +98,7 @@ def flag_high_value(scored: DataFrame, q: float = DEFAULT.hv_quantile) -> DataFr
 
     The quantile is read off the Monetary rank already computed for the
     scores (two rows), then broadcast as a one-row scalar."""
-    thr = quantile_from_rank(scored, "_rk_m", "Monetary_exact", "_n", q, "_hv_threshold")
+    thr = quantile_from_rank(scored, "_rk_m", "Monetary", "_n", q, "_hv_threshold")
     return (scored.crossJoin(F.broadcast(thr))
             .withColumn("is_high_value",
                         (F.col("Monetary") >= F.col("_hv_threshold")).cast("int")))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from churnscope.config import DEFAULT
 from churnscope.functions.columns import (
-    calendar_days, elapsed_days, micros_between, safe_div, to_double)
+    calendar_days, elapsed_days, micros_between, money, safe_div, to_double)
 
 C = "CustomerID"
 DAY_US = 86_400_000_000
@@ -40,7 +40,7 @@ DAY_US = 86_400_000_000
 def ts_grain(clean: DataFrame) -> DataFrame:
     """(customer, timestamp) → lines, amount."""
     return (clean.groupBy(C, F.col("InvoiceDate").alias("ts"))
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("TotalAmount").alias("amt"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("amount_cents").alias("amt"))
             .withColumn("day", F.to_date("ts")))
 
 
@@ -56,7 +56,7 @@ def daily_purchases(clean: DataFrame) -> DataFrame:
     text ``nan``, as the original casts it to string first."""
     inv = F.coalesce(F.col("InvoiceNo"), F.lit("nan"))
     return (clean.groupBy(C, F.to_date("InvoiceDate").alias("Date"))
-            .agg(to_double(F.sum("TotalAmount")).alias("Amount"),
+            .agg(money(F.sum("amount_cents")).alias("Amount"),
                  F.count_distinct(inv).alias("Orders")))
 
 
@@ -104,7 +104,7 @@ def day_stats(dg: DataFrame) -> DataFrame:
          .withColumn("n_days_c", F.count(F.lit(1)).over(whole))
          .withColumn("cal_gap", calendar_days(F.lag("day").over(w), F.col("day")).cast("double"))
          .withColumn("el_gap", elapsed_days(F.lag("first_ts").over(w), F.col("first_ts")).cast("double")))
-    amt = to_double(F.col("amt"))
+    amt = money(F.col("amt"))
     gap_idx = (F.col("idx") - 1).cast("double")
     half = F.floor(F.col("n_days_c") / 2)
     return g.groupBy(C).agg(
@@ -163,10 +163,14 @@ def split_stats(tsg: DataFrame, dg: DataFrame, tl: DataFrame) -> DataFrame:
     return before
 
 
-def sequence_stats(clean: DataFrame, ad: DataFrame,
+def sequence_stats(clean: DataFrame, ad: DataFrame | None = None,
                    windows=DEFAULT.windows) -> DataFrame:
-    """All raw per-customer sequence statistics, one row per customer."""
+    """All raw per-customer sequence statistics, one row per customer.
+    Without ``ad`` the analysis date comes from the ts grain itself."""
     tsg = ts_grain(clean)
+    if ad is None:
+        ad = tsg.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz")
+                     .alias("analysis_date"))
     dg = day_grain(tsg)
     tl = timeline(tsg, ad, windows)
     out = (tl.join(day_stats(dg), C)
@@ -188,13 +192,18 @@ def _d(col: str):
     return to_double(F.col(col))
 
 
+def _m(col: str):
+    """A cents column as currency."""
+    return money(F.col(col))
+
+
 def half_trends(stats: DataFrame) -> DataFrame:
     """Exact-midpoint trends of the RFM step (all customers; the
     original samples 1,000 of them, see ``sample_customers``)."""
     n1 = _d("half_n")
     n2 = _d("n_lines") - n1
-    a1 = to_double(F.coalesce(F.col("half_amt"), F.lit(0)))
-    a2 = _d("amount") - a1
+    a1 = money(F.coalesce(F.col("half_amt"), F.lit(0)))
+    a2 = _m("amount") - a1
     small = _small()
     freq = F.when(small, 0.0).when(n1 > 0, n2 / n1 - 1).otherwise(0.0)
     mon = F.when(small, 0.0).when(a1 > 0, a2 / a1 - 1).otherwise(0.0)
@@ -256,7 +265,7 @@ def features_ts(stats: DataFrame, windows=DEFAULT.windows) -> DataFrame:
         "purchase_regularity": F.when(small, 0.0).when(
             avg > 0, 1.0 / (1.0 + std / avg)).otherwise(0.0),
         "monetary_velocity": F.when(small, 0.0).otherwise(
-            _d("amount") / F.greatest(span + 1.0, F.lit(1.0))),
+            _m("amount") / F.greatest(span + 1.0, F.lit(1.0))),
         "weekend_purchase_ratio": F.when(small, none).otherwise(_d("weekend_lines") / _d("n_lines")),
         "month_diversity": F.when(small, none).otherwise(_d("n_months") / 12.0),
         "unique_products": F.when(small, F.lit(None).cast("bigint")).otherwise(F.col("unique_products")),
@@ -266,7 +275,7 @@ def features_ts(stats: DataFrame, windows=DEFAULT.windows) -> DataFrame:
         rn, ra = f"recent_n_{d}", f"recent_amt_{d}"
         cols[f"recent_activity_ratio_{d}d"] = F.when(small, 0.0).otherwise(_d(rn) / _d("n_lines"))
         cols[f"recent_monetary_ratio_{d}d"] = F.when(small, none).when(
-            F.col(rn) > 0, safe_div(_d(ra), _d("amount"))).otherwise(0.0)
+            F.col(rn) > 0, safe_div(_m(ra), _m("amount"))).otherwise(0.0)
     names = [c for c in TS_FEATURES if c in cols] + [
         k for k in cols if k not in TS_FEATURES]
     return stats.select(C, *[cols[k].alias(k) for k in names])
@@ -292,8 +301,8 @@ def features_ch(stats: DataFrame, windows=DEFAULT.windows) -> DataFrame:
     std = F.when(small | ~has_gap, F.lit(0.0)).otherwise(F.col("el_std"))
     n1 = _d("chh_n")
     n2 = _d("n_lines") - n1
-    a1 = to_double(F.coalesce(F.col("chh_amt"), F.lit(0)))
-    a2 = _d("amount") - a1
+    a1 = money(F.coalesce(F.col("chh_amt"), F.lit(0)))
+    a2 = _m("amount") - a1
     spread = F.col("span_days") > 0
     cols = {
         "total_transactions": F.col("n_lines"),
@@ -312,7 +321,7 @@ def features_ch(stats: DataFrame, windows=DEFAULT.windows) -> DataFrame:
         rn, ra = f"recent_n_{d}", f"recent_amt_{d}"
         cols[f"recent_activity_ratio_{d}d"] = F.when(small, 0.0).otherwise(_d(rn) / _d("n_lines"))
         cols[f"recent_monetary_ratio_{d}d"] = F.when(small, 0.0).when(
-            _d("amount") > 0, F.coalesce(_d(ra), F.lit(0.0)) / _d("amount")).otherwise(0.0)
+            _m("amount") > 0, F.coalesce(_m(ra), F.lit(0.0)) / _m("amount")).otherwise(0.0)
     return stats.select(C, *[cols[k].alias(k) for k in cols])
 
 

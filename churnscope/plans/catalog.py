@@ -84,7 +84,8 @@ VALID_COLS = TX_COLS + ", CAST(TotalAmount AS DOUBLE) AS TotalAmount"
 
 
 def _valid_double(df: DataFrame) -> DataFrame:
-    return _tx_double(df).withColumn("TotalAmount", to_double(F.col("TotalAmount")))
+    return _tx_double(df).withColumn("TotalAmount", to_double(F.col("TotalAmount"))).drop(
+        "amount_cents")
 
 
 @register("valid_sales", sql(f"SELECT {VALID_COLS} FROM clean", level="clean"))
@@ -214,7 +215,7 @@ def q_rfm_table_events(spark, sf):
     f"SELECT {R('quantile_cont(Monetary, 0.8)')} AS threshold FROM b2"))
 def q_high_value_threshold(spark, sf):
     from churnscope.operators.ranking import quantile_from_rank
-    t = quantile_from_rank(st.rfm_internal(spark, sf), "_rk_m", "Monetary_exact", "_n", 0.8,
+    t = quantile_from_rank(st.rfm_internal(spark, sf), "_rk_m", "Monetary", "_n", 0.8,
                            "threshold")
     return rounded(t)
 
@@ -483,7 +484,7 @@ FROM (SELECT * FROM (VALUES ('Low', 0), ('Medium', 1), ('High', 2), ('Very High'
       v(risk_level, tier_order)) t
 LEFT JOIN (
   SELECT risk_level, count(*) AS customers,
-    {R('avg(Monetary)', 2)} AS Monetary_mean, {R('sum(Monetary)', 2)} AS Monetary_sum,
+    {R('CAST(sum(mon) AS DOUBLE) / CAST(count(*) AS DOUBLE)', 2)} AS Monetary_mean, {R('CAST(sum(mon) AS DOUBLE)', 2)} AS Monetary_sum,
     {R('avg(Frequency)', 2)} AS Frequency_mean, {R('avg(is_churned)', 2)} AS is_churned_mean,
     {R('avg(churn_probability)', 2)} AS churn_probability_mean
   FROM (SELECT *, {TIER_SQL} AS risk_level FROM ch_data) WHERE risk_level IS NOT NULL
@@ -494,7 +495,8 @@ def q_tier_summary(spark, sf):
 
 @register("high_risk_totals", sql(
     f"SELECT count(*) AS customers, {R('avg(Frequency)')} AS mean_frequency, "
-    f"{R('avg(Monetary)')} AS mean_monetary, {R('sum(Monetary)')} AS revenue_at_stake "
+    f"{R('CAST(sum(mon) AS DOUBLE) / CAST(count(*) AS DOUBLE)')} AS mean_monetary, "
+    f"{R('CAST(sum(mon) AS DOUBLE)')} AS revenue_at_stake "
     "FROM ts_data WHERE churn_probability >= 0.7", level="data"))
 def q_high_risk_totals(spark, sf):
     return rounded(rp.high_risk_totals(_scored(spark, sf)))
@@ -503,7 +505,7 @@ def q_high_risk_totals(spark, sf):
 @register("segment_risk", sql(
     f"SELECT Segment, {R('avg(churn_probability)', 3)} AS churn_probability_mean, "
     f"{R('stddev_samp(churn_probability)', 3)} AS churn_probability_std, "
-    f"count(*) AS CustomerID_count, {R('sum(Monetary)', 3)} AS Monetary_sum "
+    f"count(*) AS CustomerID_count, {R('CAST(sum(mon) AS DOUBLE)', 3)} AS Monetary_sum "
     "FROM ch_data GROUP BY Segment", level="data"))
 def q_segment_risk(spark, sf):
     return rp.segment_risk(_scored(spark, sf, "ch"))
@@ -520,8 +522,9 @@ def _segment_risk_file_sql(kind: str) -> str:
         f"SELECT Segment, count(*) AS CustomerID_count, "
         f"{R('avg(churn_probability)', 3)} AS churn_probability_mean, "
         f"{R('stddev_samp(churn_probability)', 3)} AS churn_probability_std, "
-        f"{R('avg(is_churned)', 3)} AS is_churned_mean, {R('avg(Monetary)', 3)} AS Monetary_mean, "
-        f"{R('sum(Monetary)', 3)} AS Monetary_sum, {tail} FROM {src} GROUP BY Segment",
+        f"{R('avg(is_churned)', 3)} AS is_churned_mean, "
+        f"{R('CAST(sum(mon) AS DOUBLE) / CAST(count(*) AS DOUBLE)', 3)} AS Monetary_mean, "
+        f"{R('CAST(sum(mon) AS DOUBLE)', 3)} AS Monetary_sum, {tail} FROM {src} GROUP BY Segment",
         level="data")
 
 
@@ -541,14 +544,14 @@ EARLY = ("coalesce(purchase_interval_trend > 20, false) AND coalesce(recent_acti
 
 @register("early_warning_ts", sql(
     f"SELECT count(*) AS customers, {R('avg(churn_probability)')} AS mean_probability, "
-    f"{R('sum(Monetary)')} AS revenue_at_risk FROM ts_data WHERE {EARLY}", level="data"))
+    f"{R('CAST(sum(mon) AS DOUBLE)')} AS revenue_at_risk FROM ts_data WHERE {EARLY}", level="data"))
 def q_early_warning_ts(spark, sf):
     return rounded(rp.early_warning(_scored(spark, sf)))
 
 
 @register("early_warning_ch", sql(
     f"SELECT count(*) AS customers, {R('avg(churn_probability)')} AS mean_probability, "
-    f"{R('sum(Monetary)')} AS revenue_at_risk FROM ch_data WHERE {EARLY} "
+    f"{R('CAST(sum(mon) AS DOUBLE)')} AS revenue_at_risk FROM ch_data WHERE {EARLY} "
     "AND churn_probability >= 0.5", level="data"))
 def q_early_warning_ch(spark, sf):
     return rounded(rp.early_warning(_scored(spark, sf, "ch"), min_probability=0.5))

@@ -34,8 +34,16 @@ def transactions(spark: SparkSession, sf_dir: str, source: str = "orders",
 
 def clean_lines(spark: SparkSession, sf_dir: str, source: str = "orders",
                 country: str | None = None) -> DataFrame:
-    tx = transactions(spark, sf_dir, source, with_country=country is not None)
-    return cl.valid_sales(tx, country)
+    """The cleaned transaction lines, written once per session as a
+    Parquet table in the shared checkpoint folder (the original also hands
+    a cleaned file to the later steps). Every later aggregate scans this
+    table instead of repeating the joins of the source."""
+    from churnscope.operators.ranking import materialize
+
+    def build():
+        tx = transactions(spark, sf_dir, source, with_country=country is not None)
+        return materialize(cl.valid_sales(tx, country), f"clean-{source}")
+    return _memo(spark, ("clean", sf_dir, source, country), build)
 
 
 def _memo(spark: SparkSession, key: tuple, build):
@@ -61,7 +69,7 @@ def rfm_table(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataF
 def sequence_stats(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataFrame:
     tune(spark)
     clean = clean_lines(spark, sf_dir, source)
-    return sq.sequence_stats(clean, rf.analysis_date(clean), params_for(source).windows)
+    return sq.sequence_stats(clean, None, params_for(source).windows)
 
 
 def feature_table(spark: SparkSession, sf_dir: str, kind: str = "ts",

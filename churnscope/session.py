@@ -40,7 +40,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
                .config("spark.ui.enabled", "false")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if master.startswith("local"):
-        builder = builder.config("spark.driver.memory", "16g")
+        # one JVM: there is no other executor to wait for
+        builder = (builder.config("spark.driver.memory", "16g")
+                   .config("spark.locality.wait", "0s"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions",
                                  str(shuffle_partitions))

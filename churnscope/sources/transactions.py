@@ -98,6 +98,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A Parquet file is split by row group, so a small table written as one
+    row group is read by a single task and every operator pipelined on top
+    of it (filters, broadcast joins, partial aggregates) runs serially. When
+    the scan has fewer partitions than the session's default parallelism
+    the rows are dealt round-robin once; a large input (many files / row
+    groups) is left untouched, so this never adds a shuffle at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def transactions_from_orders(spark: SparkSession, sf_dir: str,
                              with_country: bool = True) -> DataFrame:
     """Fixture A: invoice lines from ``lineitem ⋈ orders ⋈ part``.
@@ -107,8 +123,8 @@ def transactions_from_orders(spark: SparkSession, sf_dir: str,
     comes from ``customer ⟕ nation`` and is only joined when asked for, so
     that jobs without a country scope do not pay for the two joins.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_returnflag"))
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
@@ -144,9 +160,9 @@ def transactions_from_events(spark: SparkSession, sf_dir: str,
     Short history with real times of day, so elapsed-day versus
     calendar-day definitions give different answers here.
     """
-    ev = (read_table(spark, sf_dir, "events")
-          .select("event_id", "ts", "user_id", "event_type", "value", "props")
-          .filter(F.col("event_type").isin("purchase", "error")))
+    ev = spread(read_table(spark, sf_dir, "events")
+                .select("event_id", "ts", "user_id", "event_type", "value", "props")
+                .filter(F.col("event_type").isin("purchase", "error")))
     key = F.col("event_id").cast("string")
     return ev.select(
         F.when(F.col("event_type") == "error", F.concat(F.lit("C"), key))
