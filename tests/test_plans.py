@@ -17,12 +17,20 @@ def test_no_python_udf_in_feature_plans(spark):
 
 
 def test_filters_pushed_to_scan(spark):
-    clean = st.clean_lines(spark, SF_SMALL)
+    from churnscope.operators.clean import valid_sales
+    from churnscope.sources import transactions_from_orders
+    clean = valid_sales(transactions_from_orders(spark, SF_SMALL, with_country=False))
     plan = clean._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_custkey)" in plan or "IsNotNull(o_custkey)" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_returnflag:string>" in plan
 
 
+def test_materialized_clean_is_column_pruned(spark):
+    clean = st.clean_lines(spark, SF_SMALL)
+    plan = clean.groupBy("CustomerID").count()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<CustomerID:bigint>" in plan
+
+
 def test_windows_only_on_bounded_grains(spark):
     stats = st.sequence_stats(spark, SF_SMALL)
     plan = stats._jdf.queryExecution().optimizedPlan().toString()
