@@ -43,10 +43,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
+def _range(df: DataFrame, order_cols: list, num_partitions: int | None) -> DataFrame:
+    """Range-partition on the full sort key. Without an explicit count the
+    exchange uses the session's shuffle partitions and adaptive execution
+    may merge neighbouring small ranges (a merged partition is still one
+    contiguous range, and positions are taken after the merge)."""
     if num_partitions:
-        return num_partitions
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        return df.repartitionByRange(num_partitions, *order_cols)
+    return df.repartitionByRange(*order_cols)
 
 
 def global_rank(df: DataFrame, order_cols: list, out: str = "rank",
@@ -58,8 +62,7 @@ def global_rank(df: DataFrame, order_cols: list, out: str = "rank",
     rank is then exactly ``row_number() over (order by order_cols)``.
     ``total_col`` optionally adds the row count of the whole table.
     """
-    n_parts = _partitions(df, num_partitions)
-    tagged = (df.repartitionByRange(n_parts, *order_cols)
+    tagged = (_range(df, order_cols, num_partitions)
               .sortWithinPartitions(*order_cols)
               .withColumn("_rid", F.monotonically_increasing_id()))
     tagged = reliable_checkpoint(tagged)
@@ -86,8 +89,7 @@ def running_total(df: DataFrame, order_cols: list, weights, outs,
     partition plus the totals of all earlier partitions."""
     weights = [weights] if isinstance(weights, str) else list(weights)
     outs = [outs] if isinstance(outs, str) else list(outs)
-    n_parts = _partitions(df, num_partitions)
-    tagged = (df.repartitionByRange(n_parts, *order_cols)
+    tagged = (_range(df, order_cols, num_partitions)
               .withColumn("_pid", F.spark_partition_id()))
     tagged = reliable_checkpoint(tagged)
     totals = tagged.groupBy("_pid").agg(*[F.sum(w).alias(f"_pt{i}") for i, w in enumerate(weights)])

@@ -67,9 +67,15 @@ def rfm_table(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataF
 
 
 def sequence_stats(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataFrame:
+    """Raw per-customer sequence statistics, materialised once per session
+    (three feature families and both feature tables read them)."""
+    from churnscope.operators.ranking import reliable_checkpoint
     tune(spark)
-    clean = clean_lines(spark, sf_dir, source)
-    return sq.sequence_stats(clean, None, params_for(source).windows)
+
+    def build():
+        clean = clean_lines(spark, sf_dir, source)
+        return reliable_checkpoint(sq.sequence_stats(clean, None, params_for(source).windows))
+    return _memo(spark, ("stats", sf_dir, source), build)
 
 
 def feature_table(spark: SparkSession, sf_dir: str, kind: str = "ts",
