@@ -38,7 +38,12 @@ def ts_step(spark: SparkSession, sf_dir: str, source: str = "orders") -> StepRes
 
 
 def _ts_step(spark, sf_dir, source):
-    data = st.feature_table(spark, sf_dir, "ts", source)
+    return ts_models(st.feature_table(spark, sf_dir, "ts", source))
+
+
+def ts_models(data: DataFrame) -> StepResult:
+    """The time-series step on a TS feature table (``feature_table(.., 'ts')``)."""
+    spark = data.sparkSession
     feats = feature_names("ts")
     tr = md.Trainer(model_frame(data, "ts"), feats)
     rows, best, best_auc, fitted_best = [], None, 0.0, None
@@ -68,7 +73,12 @@ def ch_step(spark: SparkSession, sf_dir: str, source: str = "orders",
 
 
 def _ch_step(spark, sf_dir, source, cv_folds):
-    data = st.feature_table(spark, sf_dir, "ch", source)
+    return ch_models(st.feature_table(spark, sf_dir, "ch", source), cv_folds)
+
+
+def ch_models(data: DataFrame, cv_folds: int = DEFAULT.cv_folds) -> StepResult:
+    """The integrated step on a CH feature table (``feature_table(.., 'ch')``)."""
+    spark = data.sparkSession
     feats = feature_names("ch")
     frame = model_frame(data, "ch")
     tr = md.Trainer(frame, feats)

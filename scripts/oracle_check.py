@@ -39,8 +39,14 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
     from churnscope.plans.catalog import ORACLE, QUERIES
-    from churnscope.session import get_spark
-    spark = get_spark("local[8]", 8)
+    if os.environ.get("ORACLE_PLAIN") == "1":
+        # a session with Spark's defaults, as an outside driver would build it
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .getOrCreate())
+    else:
+        from churnscope.session import get_spark
+        spark = get_spark("local[8]", 8)
     con = duckdb.connect()
     for t in TABLES:
         if os.path.exists(f"{sf}/{t}.parquet"):
