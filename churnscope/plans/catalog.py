@@ -886,3 +886,34 @@ def q_describe_rfm(spark, sf):
     "ORDER BY md5('42|' || CAST(CustomerID AS VARCHAR)), CustomerID LIMIT 1000"))
 def q_trend_sample(spark, sf):
     return sq.sample_customers(st.rfm_table(spark, sf), 1000)
+
+
+# ---------------------------------------------------------------------------
+# evaluation of the chosen models on their test split (V2-V6 as in the
+# original figures): rows-only, the scores come from Spark ML training
+# ---------------------------------------------------------------------------
+
+@register("model_roc_points_ts")
+def q_model_roc_points_ts(spark, sf):
+    return mt.roc_points(mdl.ts_step(spark, sf).test_scores)
+
+
+@register("model_pr_points_ts")
+def q_model_pr_points_ts(spark, sf):
+    return mt.pr_points(mdl.ts_step(spark, sf).test_scores)
+
+
+@register("model_best_f1_ts")
+def q_model_best_f1_ts(spark, sf):
+    return mt.best_f1_threshold(mdl.ts_step(spark, sf).test_scores)
+
+
+@register("model_confusion_ts")
+def q_model_confusion_ts(spark, sf):
+    return mt.confusion(mdl.ts_step(spark, sf).test_scores, pred="predicted")
+
+
+@register("model_test_metrics_ch")
+def q_model_test_metrics_ch(spark, sf):
+    s = mdl.ch_step(spark, sf).test_scores
+    return mt.auc(s).crossJoin(mt.classification_metrics(s, pred="predicted"))

@@ -25,6 +25,7 @@ class StepResult:
     predictions: DataFrame      # all customers with probability and tier
     importance: DataFrame       # Feature, Importance (descending)
     summary: DataFrame | None = None   # integrated step: one-row final table
+    test_scores: DataFrame | None = None  # best model on the test split
 
 
 def _rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -60,7 +61,9 @@ def ts_models(data: DataFrame) -> StepResult:
     preds = rp.with_risk_tier(data.join(scored.select("CustomerID", "churn_probability"),
                                         "CustomerID"))
     imp = _rows(spark, md.importances(fitted_best, feats), "Feature string, Importance double")
-    return StepResult(results, best, preds, imp)
+    test_scores = tr.score(fitted_best, tr.test).select("CustomerID", "is_churned",
+                                                         "churn_probability", "predicted")
+    return StepResult(results, best, preds, imp, test_scores=test_scores)
 
 
 def ch_step(spark: SparkSession, sf_dir: str, source: str = "orders",
@@ -126,7 +129,9 @@ def ch_models(data: DataFrame, cv_folds: int = DEFAULT.cv_folds) -> StepResult:
     results = _rows(spark, [(n, float(s)) for n, s in scores.items()],
                     "Model string, Validation_AUC double")
     imp = _rows(spark, [(f, float(v)) for f, v in imp_rows], "Feature string, Importance double")
-    return StepResult(results, best, preds, imp, summary)
+    test_scores = score_with(tr.test).select("CustomerID", "is_churned", "churn_probability",
+                                             "predicted")
+    return StepResult(results, best, preds, imp, summary, test_scores)
 
 
 def high_risk_export(result: StepResult, kind: str = "ts",

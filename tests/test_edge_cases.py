@@ -74,3 +74,10 @@ def test_ties_broken_by_customer(edge):
 def test_ratios_ordered(edge):
     for r in edge["ts"].values():
         assert r.recent_activity_ratio_30d <= r.recent_activity_ratio_60d <= r.recent_activity_ratio_90d
+
+
+def test_profile_counts(edge):
+    p = cl.profile(edge["tx"]).first()
+    assert (p.raw_rows, p.null_customers, p.raw_customers) == (22, 1, 13)
+    assert (p.negative_quantity, p.nonpositive_price, p.return_lines, p.return_customers) == (1, 1, 1, 1)
+    assert (p.valid_rows, p.valid_customers, p.removed_rows) == (18, 13, 1)
