@@ -917,3 +917,20 @@ def q_model_confusion_ts(spark, sf):
 def q_model_test_metrics_ch(spark, sf):
     s = mdl.ch_step(spark, sf).test_scores
     return mt.auc(s).crossJoin(mt.classification_metrics(s, pred="predicted"))
+
+
+# ---------------------------------------------------------------------------
+# fixture B (real times of day, churn horizon 5 days) through the reports
+# ---------------------------------------------------------------------------
+
+@register("segment_summary_events", O.with_ctes(
+    *O.rfm_prefix("events", st.params_for("events").churn_days),
+    body="\nSELECT Segment," + SEGMENT_SUMMARY_SQL.rsplit("\nSELECT Segment,", 1)[1]))
+def q_segment_summary_events(spark, sf):
+    return rp.segment_summary(st.rfm_internal(spark, sf, "events"))
+
+
+@register("ts_feature_table_events", sql(O.select_rounded(TS_DERIVED, "ts_data"), "events",
+                                         level="data"))
+def q_ts_feature_table_events(spark, sf):
+    return rounded(st.feature_table(spark, sf, "ts", "events").select(*[c for c, _ in TS_DERIVED]))
