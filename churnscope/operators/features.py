@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnscope.config import DEFAULT, Params
-from churnscope.functions.columns import elapsed_days, nan_free, to_double, true_or_false
+from churnscope.functions.columns import elapsed_days, nan_free, true_or_false
 from churnscope.functions.rules import segment_risk_level, segment_value_code
 from churnscope.operators import sequences as seq
 
@@ -137,4 +137,4 @@ def feature_names(kind: str = "ts") -> list[str]:
 
 __all__ = ["derive_ts", "derive_ch", "fill_features", "feature_table",
            "model_frame", "feature_names", "TS_MODEL_FEATURES",
-           "CH_MODEL_FEATURES", "to_double"]
+           "CH_MODEL_FEATURES"]

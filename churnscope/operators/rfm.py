@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnscope.config import DEFAULT, Params
-from churnscope.functions.columns import elapsed_days, money, safe_div, to_double
+from churnscope.functions.columns import elapsed_days, money, safe_div
 from churnscope.functions.rules import quintile, segment_of
 from churnscope.operators.ranking import global_rank, quantile_from_rank
 

@@ -49,9 +49,11 @@ def ts_models(data: DataFrame) -> StepResult:
     tr = md.Trainer(model_frame(data, "ts"), feats)
     rows, best, best_auc, fitted_best = [], None, 0.0, None
     all_fitted = md.parallel(tr.fit, md.TS_SPECS)
-    for spec, fitted in zip(md.TS_SPECS, all_fitted):
-        v = md.evaluate(tr.score(fitted, tr.val))
-        t = md.evaluate(tr.score(fitted, tr.test))
+    # validation and test metrics of every model, evaluated concurrently
+    jobs = [(f, part) for f in all_fitted for part in (tr.val, tr.test)]
+    metrics = md.parallel(lambda j: md.evaluate(tr.score(j[0], j[1])), jobs, threads=6)
+    for i, (spec, fitted) in enumerate(zip(md.TS_SPECS, all_fitted)):
+        v, t = metrics[2 * i], metrics[2 * i + 1]
         rows.append((spec.name, v["auc"], t["auc"], t["precision"], t["recall"], t["f1"]))
         if t["auc"] is not None and t["auc"] > best_auc:
             best, best_auc, fitted_best = spec.name, t["auc"], fitted
@@ -89,7 +91,8 @@ def ch_models(data: DataFrame, cv_folds: int = DEFAULT.cv_folds) -> StepResult:
     for spec, f in zip(md.CH_SPECS, md.parallel(tr.fit, md.CH_SPECS, threads=5)):
         fitted[spec.name] = f
         val_scored[spec.name] = tr.score(f, tr.val)
-        val_auc[spec.name] = md.evaluate(val_scored[spec.name])["auc"]
+    aucs = md.parallel(lambda n: md.evaluate(val_scored[n])["auc"], list(val_scored), threads=5)
+    val_auc = dict(zip(val_scored, aucs))
     top = sorted(val_auc, key=lambda n: -val_auc[n])[:3]
     ens_val = md.soft_vote([val_scored[n] for n in top])
     scores = dict(val_auc)
