@@ -82,6 +82,34 @@ def global_rank(df: DataFrame, order_cols: list, out: str = "rank",
     return ranked.drop("_pid", "_off", "_rid", "_tot", "_cnt")
 
 
+def multi_rank(df: DataFrame, key: str, metrics: dict, prefix: str = "_rk_",
+               total_col: str = "_n", num_partitions: int | None = None) -> DataFrame:
+    """Ranks of several columns at once, ties broken by ``key``.
+
+    The table is turned into a narrow long form (metric index, value, key),
+    ranked once in the order (metric, value, key), and pivoted back. Every
+    metric contributes exactly n rows, so a row's rank inside its metric is
+    its combined rank minus ``metric_index · n``. One range shuffle of three
+    narrow columns replaces one wide shuffle per metric. Values of all
+    metrics must share one orderable type (e.g. bigint).
+    Adds ``<prefix><name>`` per metric and ``total_col`` (n).
+    """
+    names = list(metrics)
+    entries = [F.struct(F.lit(i).alias("_m"), F.col(c).alias("_v") if isinstance(c, str)
+                        else c.alias("_v")) for i, c in enumerate(metrics[n] for n in names)]
+    long = df.select(F.col(key), F.explode(F.array(*entries)).alias("_e")).select(
+        key, "_e._m", "_e._v")
+    ranked = global_rank(long, [F.col("_m"), F.col("_v"), F.col(key)], "_rk",
+                         total_col="_total", num_partitions=num_partitions)
+    n = (F.col("_total") / len(names)).cast("bigint")
+    per = ranked.select(key, "_m", (F.col("_rk") - F.col("_m") * n).alias("_rk"),
+                        n.alias(total_col))
+    wide = per.groupBy(key, total_col).pivot("_m", list(range(len(names)))).agg(F.first("_rk"))
+    wide = wide.select(key, total_col, *[F.col(str(i)).alias(f"{prefix}{name}")
+                                         for i, name in enumerate(names)])
+    return df.join(wide, key)
+
+
 def running_total(df: DataFrame, order_cols: list, weights, outs,
                   num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sums of the ``weights`` columns along the total

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from churnscope.config import DEFAULT, Params
 from churnscope.functions.columns import elapsed_days, money, safe_div
 from churnscope.functions.rules import quintile, segment_of
-from churnscope.operators.ranking import global_rank, quantile_from_rank
+from churnscope.operators.ranking import multi_rank, quantile_from_rank, reliable_checkpoint
 
 RFM_COLUMNS = ["CustomerID", "Recency", "Frequency", "Monetary", "R_Score",
                "F_Score", "M_Score", "RFM_Score", "Segment", "is_churned",
@@ -65,14 +65,14 @@ def rfm_base(clean: DataFrame, ad: DataFrame | None = None) -> DataFrame:
 def rfm_scores(base: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """Ranks with ties broken by CustomerID, then quintile bins.
 
-    R is reversed (most recent = 5). Three distributed ranks; the total
-    customer count comes with the first one."""
-    r = global_rank(base, [F.col("Recency"), F.col("CustomerID")], "_rk_r",
-                    total_col="_n", num_partitions=num_partitions)
-    f = global_rank(r, [F.col("Frequency"), F.col("CustomerID")], "_rk_f",
-                    num_partitions=num_partitions)
-    m = global_rank(f, [F.col("Monetary_exact"), F.col("CustomerID")], "_rk_m",
-                    num_partitions=num_partitions)
+    R is reversed (most recent = 5). The customer table is written once
+    (checkpoint) and the three ranks come from one distributed rank over
+    its narrow long form (``multi_rank``)."""
+    base = reliable_checkpoint(base)
+    m = multi_rank(base, "CustomerID",
+                   {"r": F.col("Recency").cast("bigint"), "f": F.col("Frequency").cast("bigint"),
+                    "m": F.col("Monetary_exact").cast("bigint")},
+                   prefix="_rk_", total_col="_n", num_partitions=num_partitions)
     n = F.col("_n")
     return (m.withColumn("R_Score", (F.lit(6) - quintile(F.col("_rk_r"), n)).cast("int"))
             .withColumn("F_Score", quintile(F.col("_rk_f"), n))

@@ -56,10 +56,12 @@ def _memo(spark: SparkSession, key: tuple, build):
 def rfm_internal(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataFrame:
     """The RFM table with helper columns (ranks, first/last purchase,
     analysis date). Built once per session and source."""
+    from churnscope.operators.ranking import reliable_checkpoint
     tune(spark)
     p = params_for(source)
     return _memo(spark, ("rfm", sf_dir, source),
-                 lambda: rf.rfm_table(clean_lines(spark, sf_dir, source), p, keep_internal=True))
+                 lambda: reliable_checkpoint(
+                     rf.rfm_table(clean_lines(spark, sf_dir, source), p, keep_internal=True)))
 
 
 def rfm_table(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataFrame:

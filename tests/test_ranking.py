@@ -44,3 +44,17 @@ def test_exact_quantiles_match_numpy(spark):
     q = exact_quantiles(df, "x", [0.25, 0.5, 0.75, 0.8]).first()
     for i, p in enumerate([0.25, 0.5, 0.75, 0.8]):
         assert abs(q[f"q_{i}"] - np.quantile(x, p)) < 1e-9
+
+
+def test_multi_rank_matches_separate_ranks(spark):
+    from churnscope.operators.ranking import multi_rank
+    rng = np.random.default_rng(5)
+    rows = [(int(i), int(a), int(b)) for i, (a, b) in
+            enumerate(zip(rng.integers(0, 5, 700), rng.integers(0, 1000, 700)))]
+    df = spark.createDataFrame(rows, "id long, a long, b long")
+    out = {r.id: (r.rk_a, r.rk_b, r.n) for r in
+           multi_rank(df, "id", {"a": "a", "b": "b"}, prefix="rk_", total_col="n",
+                      num_partitions=6).collect()}
+    ra = {t[0]: i + 1 for i, t in enumerate(sorted(rows, key=lambda t: (t[1], t[0])))}
+    rb = {t[0]: i + 1 for i, t in enumerate(sorted(rows, key=lambda t: (t[2], t[0])))}
+    assert out == {i: (ra[i], rb[i], 700) for i in ra}
