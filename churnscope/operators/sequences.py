@@ -164,10 +164,17 @@ def split_stats(tsg: DataFrame, dg: DataFrame, tl: DataFrame) -> DataFrame:
 
 
 def sequence_stats(clean: DataFrame, ad: DataFrame | None = None,
-                   windows=DEFAULT.windows) -> DataFrame:
+                   windows=DEFAULT.windows, write_grain: bool = True) -> DataFrame:
     """All raw per-customer sequence statistics, one row per customer.
-    Without ``ad`` the analysis date comes from the ts grain itself."""
+    Without ``ad`` the analysis date comes from the ts grain itself.
+
+    The (customer, timestamp) grain feeds three aggregates (totals, day
+    grain, cut-day detail); with ``write_grain`` it is written once to the
+    checkpoint folder instead of being re-aggregated by each of them."""
+    from churnscope.operators.ranking import materialize
     tsg = ts_grain(clean)
+    if write_grain:
+        tsg = materialize(tsg, "ts-grain")
     if ad is None:
         ad = tsg.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz")
                      .alias("analysis_date"))
