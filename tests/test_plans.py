@@ -38,3 +38,25 @@ def test_windows_only_on_bounded_grains(spark):
     for line in plan.splitlines():
         if "Window [" in line and "CustomerID" in line:
             assert "day" in line, line
+
+
+def test_every_window_is_bounded(spark):
+    """Windows either run per customer over the day grain, or over the
+    offset tables of the distributed rank / the class counts of the split
+    (one row per range partition or per class)."""
+    from churnscope.operators import ml_prep as mp
+    from churnscope.operators import rfm as rf
+    from churnscope.operators import sequences as sq
+    clean = st.clean_lines(spark, SF_SMALL)
+    plans = [rf.rfm_table(clean), sq.sequence_stats(clean, write_grain=False),
+             mp.stratified_split(st.feature_table(spark, SF_SMALL, "ch"))]
+    seen = 0
+    for df in plans:
+        for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines():
+            if "Window [" not in line:
+                continue
+            seen += 1
+            bounded = (("CustomerID" in line and "day" in line)
+                       or "_cnt" in line or "_pt" in line or "_nc" in line)
+            assert bounded, line
+    assert seen > 0
