@@ -16,12 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnscope.functions.columns import half_up, to_double
+from churnscope.functions.rules import ACTION_PLANS, SEGMENT_STRATEGY
 from churnscope.operators import campaign as cp
 from churnscope.operators import clean as cl
 from churnscope.operators import metrics as mt
+from churnscope.operators import ml_prep as mp
 from churnscope.operators import reports as rp
 from churnscope.operators import rfm as rf
 from churnscope.operators import sequences as sq
+from churnscope.operators.features import TS_MODEL_FEATURES
+from churnscope.plans import modeling as mdl
 from churnscope.plans import oracle as O
 from churnscope.plans import steps as st
 
@@ -323,8 +327,7 @@ def q_high_risk_customers(spark, sf):
 
 
 STRATEGY_ROWS = " UNION ALL ".join(
-    f"SELECT '{k}' AS Segment, '{v}' AS strategy"
-    for k, v in __import__("churnscope.functions.rules", fromlist=["x"]).SEGMENT_STRATEGY.items())
+    f"SELECT '{k}' AS Segment, '{v}' AS strategy" for k, v in SEGMENT_STRATEGY.items())
 
 
 @register("segment_strategy", sql(
@@ -456,9 +459,6 @@ def q_ch_feature_table_events(spark, sf):
 # L6, B4-B6)
 # ---------------------------------------------------------------------------
 
-from churnscope.functions.rules import ACTION_PLANS  # noqa: E402
-from churnscope.operators import ml_prep as mp  # noqa: E402
-from churnscope.operators.features import TS_MODEL_FEATURES  # noqa: E402
 
 TIER_SQL = ("CASE WHEN churn_probability > 0.0 AND churn_probability <= 0.3 THEN 'Low' "
             "WHEN churn_probability > 0.3 AND churn_probability <= 0.5 THEN 'Medium' "
@@ -802,7 +802,6 @@ def q_class_weights(spark, sf):
 # models (E1-E11, M6, S10): rows-only checks
 # ---------------------------------------------------------------------------
 
-from churnscope.plans import modeling as mdl  # noqa: E402
 
 
 @register("model_comparison_ts")
