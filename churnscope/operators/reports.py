@@ -191,6 +191,14 @@ def segment_risk(scored: DataFrame, prob: str = "churn_probability") -> DataFram
     return g.orderBy(F.desc("churn_probability_mean"), "Segment")
 
 
+def segment_risk_ts(scored: DataFrame, prob: str = "churn_probability") -> DataFrame:
+    """R10 (time-series step): mean probability (3 dp) and size per
+    segment, probability descending."""
+    g = scored.groupBy("Segment").agg(half_up(F.avg(prob), 3).alias("churn_probability"),
+                                      F.count(F.lit(1)).alias("CustomerID"))
+    return g.orderBy(F.desc("churn_probability"), "Segment")
+
+
 def segment_risk_file(scored: DataFrame, kind: str = "ts",
                       prob: str = "churn_probability") -> DataFrame:
     """The segment risk file of either step (3 dp)."""

@@ -933,3 +933,30 @@ def q_segment_summary_events(spark, sf):
                                          level="data"))
 def q_ts_feature_table_events(spark, sf):
     return rounded(st.feature_table(spark, sf, "ts", "events").select(*[c for c, _ in TS_DERIVED]))
+
+
+# ---------------------------------------------------------------------------
+# time-series-step variants of the tier summary (R8) and segment risk
+# ---------------------------------------------------------------------------
+
+@register("tier_summary_ts", sql(f"""
+SELECT t.risk_level, t.tier_order, CAST(coalesce(g.customers, 0) AS BIGINT) AS customers,
+       g.Monetary_mean, g.Monetary_sum, g.Frequency_mean, g.is_churned_mean
+FROM (SELECT * FROM (VALUES ('Low', 0), ('Medium', 1), ('High', 2), ('Very High', 3))
+      v(risk_level, tier_order)) t
+LEFT JOIN (
+  SELECT risk_level, count(*) AS customers,
+    {R('CAST(sum(mon) AS DOUBLE) / CAST(count(*) AS DOUBLE)', 2)} AS Monetary_mean,
+    {R('CAST(sum(mon) AS DOUBLE)', 2)} AS Monetary_sum,
+    {R('avg(Frequency)', 2)} AS Frequency_mean, {R('avg(is_churned)', 2)} AS is_churned_mean
+  FROM (SELECT *, {TIER_SQL} AS risk_level FROM ts_data) WHERE risk_level IS NOT NULL
+  GROUP BY risk_level) g ON t.risk_level = g.risk_level""", level="data"))
+def q_tier_summary_ts(spark, sf):
+    return rp.tier_summary(_scored(spark, sf), with_probability=False)
+
+
+@register("segment_risk_ts", sql(
+    f"SELECT Segment, {R('avg(churn_probability)', 3)} AS churn_probability, "
+    "count(*) AS CustomerID FROM ts_data GROUP BY Segment", level="data"))
+def q_segment_risk_ts(spark, sf):
+    return rp.segment_risk_ts(_scored(spark, sf))
