@@ -721,7 +721,8 @@ def q_campaign_roi_ch(spark, sf):
     "ch_data", cp.sweep_thresholds(), "avg(CASE WHEN is_churned = 0 THEN avg_order_value END)",
     f"SELECT threshold, targets, {R('roi')} AS roi FROM e"))
 def q_roi_curve(spark, sf):
-    return rounded(cp.roi_curve(_scored(spark, sf, "ch")))
+    # the threshold grid stays exact (e.g. 0.6499999999999999); only ROI is rounded
+    return cp.roi_curve(_scored(spark, sf, "ch")).withColumn("roi", half_up(F.col("roi"), 6))
 
 
 @register("roi_best_threshold", _econ_sql(
@@ -730,7 +731,7 @@ def q_roi_curve(spark, sf):
     "FROM (SELECT 1 AS one) d LEFT JOIN (SELECT threshold, roi, targets FROM e WHERE targets > 10 "
     "ORDER BY floor(roi * 1000000.0 + 0.5) DESC, threshold LIMIT 1) b ON true"))
 def q_roi_best_threshold(spark, sf):
-    return rounded(cp.best_threshold(_scored(spark, sf, "ch")))
+    return cp.best_threshold(_scored(spark, sf, "ch")).withColumn("roi", half_up(F.col("roi"), 6))
 
 
 # ---------------------------------------------------------------------------

@@ -25,7 +25,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 9)
+        return v if os.environ.get("ORACLE_EXACT") == "1" else round(v, 9)
     if hasattr(v, "isoformat"):
         return str(v)[:26]
     return v
