@@ -17,3 +17,14 @@ def test_rfm_step_writes_outputs(spark):
     summary = read_written(spark, os.path.join(out, "segment_summary"))
     assert rfm.count() == summary.agg({"Customer_Count": "sum"}).first()[0]
     assert len(rfm.columns) == 14
+
+
+def test_time_series_step_outputs(spark):
+    tx = transactions_from_orders(spark, SF_SMALL, with_country=False)
+    outputs = run(spark, tx, None, steps=("ts",))
+    assert {"churn_predictions", "model_performance", "feature_importance",
+            "segment_risk_analysis", "high_risk_customers_prediction"} <= set(outputs)
+    perf = outputs["model_performance"].collect()
+    assert [r.Model for r in perf] == ["Logistic Regression", "Random Forest", "Gradient Boosting"]
+    preds = outputs["churn_predictions"]
+    assert preds.count() == outputs["segment_risk_analysis"].agg({"CustomerID_count": "sum"}).first()[0]
