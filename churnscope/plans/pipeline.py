@@ -17,13 +17,15 @@ from churnscope.operators import rfm as rf
 from churnscope.operators import sequences as sq
 from churnscope.operators.ranking import materialize, reliable_checkpoint
 from churnscope.plans import modeling as mdl
-from churnscope.session import tune
+from churnscope.session import size_shuffles, tune
 from churnscope.sources import write_table
 
 
 def prepare(tx: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Valid sales (optional country scope), written once."""
+    """Valid sales (optional country scope), written once. Shuffles are
+    sized from the input's size first."""
     tune(tx.sparkSession)
+    size_shuffles(tx.sparkSession, tx)
     return materialize(cl.valid_sales(tx, params.country), "clean")
 
 

@@ -64,3 +64,16 @@ def test_model_save_load(spark):
     loaded, meta = load_model(spark, path)
     assert meta.model_name == "LogisticRegression" and meta.features == ["x"]
     assert loaded.transform(df).count() == 40
+
+
+def test_size_shuffles_respects_explicit_setting(spark):
+    from churnscope.session import size_shuffles
+    tx = transactions_from_orders(spark, SF_SMALL)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert size_shuffles(spark, tx) == int(before)       # set explicitly by the test session
+    spark.conf.set("spark.sql.shuffle.partitions", "200")  # Spark's default → sized
+    try:
+        n = size_shuffles(spark, tx)
+        assert n == 2 * spark.sparkContext.defaultParallelism    # tiny input: the floor
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
