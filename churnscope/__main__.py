@@ -17,6 +17,8 @@ def main(argv=None) -> None:
     ap.add_argument("--steps", default="rfm,ts,ch")
     ap.add_argument("--country", default=None, help="optional country scope")
     ap.add_argument("--churn-days", type=int, default=120)
+    ap.add_argument("--keep-intermediate", action="store_true",
+                    help="keep the tables written to spark.checkpoint.dir")
     a = ap.parse_args(argv)
     from churnscope.plans.pipeline import run
     from churnscope.session import get_spark
@@ -24,7 +26,8 @@ def main(argv=None) -> None:
     spark = get_spark()
     tx = read_transactions(spark, a.input, a.format, a.encoding)
     params = Params(churn_days=a.churn_days, country=a.country)
-    run(spark, tx, a.out, tuple(a.steps.split(",")), params, a.out_format)
+    run(spark, tx, a.out, tuple(a.steps.split(",")), params, a.out_format,
+        cleanup=not a.keep_intermediate)
 
 
 if __name__ == "__main__":

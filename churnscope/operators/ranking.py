@@ -32,15 +32,34 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     read it back: lineage is cut, and later scans still get column pruning
-    and filter pushdown (unlike an RDD checkpoint)."""
+    and filter pushdown (unlike an RDD checkpoint). The path is recorded so
+    that ``drop_written_tables`` can remove it when the job is done."""
     import uuid
-    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/churnscope-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.parquet(path)
+
+
+def drop_written_tables(spark) -> int:
+    """Delete the intermediate tables this application wrote with
+    ``materialize`` (only those; other files in the folder are untouched).
+    DataFrames reading them must not be used afterwards. Returns the count."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    return len(paths)
 
 
 def _range(df: DataFrame, order_cols: list, num_partitions: int | None) -> DataFrame:

@@ -73,8 +73,12 @@ def ch_step(ch_table: DataFrame, params: Params = DEFAULT) -> dict[str, DataFram
 
 
 def run(spark: SparkSession, tx: DataFrame, out: str | None = None,
-        steps=("rfm", "ts", "ch"), params: Params = DEFAULT, fmt: str = "parquet") -> dict:
-    """Run the chosen steps; write every output table under ``out``."""
+        steps=("rfm", "ts", "ch"), params: Params = DEFAULT, fmt: str = "parquet",
+        cleanup: bool = False) -> dict:
+    """Run the chosen steps; write every output table under ``out``. With
+    ``cleanup`` (only together with ``out``) the intermediate tables written
+    to the checkpoint folder are deleted afterwards; the returned DataFrames
+    must then not be used."""
     clean = prepare(tx, params)
     outputs: dict[str, DataFrame] = {}
     r = rfm_step(clean, params)
@@ -90,6 +94,9 @@ def run(spark: SparkSession, tx: DataFrame, out: str | None = None,
     if out:
         for name, df in outputs.items():
             write_table(df.coalesce(1) if _small(name) else df, f"{out.rstrip('/')}/{name}", fmt)
+        if cleanup:
+            from churnscope.operators.ranking import drop_written_tables
+            drop_written_tables(spark)
     return outputs
 
 

@@ -58,3 +58,19 @@ def test_multi_rank_matches_separate_ranks(spark):
     ra = {t[0]: i + 1 for i, t in enumerate(sorted(rows, key=lambda t: (t[1], t[0])))}
     rb = {t[0]: i + 1 for i, t in enumerate(sorted(rows, key=lambda t: (t[2], t[0])))}
     assert out == {i: (ra[i], rb[i], 700) for i in ra}
+
+
+def test_drop_written_tables_removes_only_own_tables(spark):
+    import os
+    from churnscope.operators.ranking import _WRITTEN, drop_written_tables, materialize
+    app = spark.sparkContext.applicationId
+    keep = list(_WRITTEN.get(app, []))
+    _WRITTEN[app] = []
+    t = materialize(spark.range(10), "unit-test")
+    path = _WRITTEN[app][-1]
+    assert t.count() == 10
+    local = path.replace("file:", "")
+    assert os.path.exists(local)
+    assert drop_written_tables(spark) == 1
+    assert not os.path.exists(local)
+    _WRITTEN[app] = keep
