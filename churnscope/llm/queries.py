@@ -8,8 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnscope.llm import exact_dedup
-from churnscope.llm.common import documents
+from churnscope.llm import exact_dedup, quality_qda
+from churnscope.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,3 +31,8 @@ WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
 FROM d JOIN g USING (norm)
 """
+
+
+@_query
+def op9_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_qda.score(documents(spark, sf_dir), labels(spark, sf_dir))
