@@ -26,8 +26,12 @@ from pyspark.sql import functions as F
 
 from churnscope.llm.common import shared_path, small_side, text_or_empty, written
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+#: State on disk; no pre-allocated files, as there may be many small stores.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(name: str = "text") -> Column:
@@ -51,17 +55,16 @@ def digest_state(stream: DataFrame, files: str, checkpoint: str) -> None:
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{files}/batch={number}")
 
-    before = spark.conf.get(PROVIDER_KEY, None)
-    spark.conf.set(PROVIDER_KEY, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         query = (changed.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True).foreachBatch(keep).start())
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER_KEY)
-        else:
-            spark.conf.set(PROVIDER_KEY, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def dedup(docs: DataFrame, files_per_batch: int = 4096,
