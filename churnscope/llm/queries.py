@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnscope.llm import exact_dedup, quality_qda
+from churnscope.llm import exact_dedup, quality_qda, secrets_crf
 from churnscope.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,9 @@ FROM d JOIN g USING (norm)
 @_query
 def op9_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.score(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@_query
+def op10_secrets_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return secrets_crf.scan(docs, secrets_crf.train(docs))
