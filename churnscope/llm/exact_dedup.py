@@ -95,7 +95,8 @@ def dedup(docs: DataFrame, files_per_batch: int = 4096,
     hits = written(keyed.join(small_side(several), "digest"), "hits")
     held = hits.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
         "digest", F.col("norm").alias("held")).dropDuplicates(["digest"])
-    clash = written(hits.join(held, "digest").where("norm != held").select("digest").distinct(), "clashes")
+    # no aggregate on top of this join: adaptive execution may then split a digest with many rows
+    clash = written(hits.join(held, "digest").where("norm != held").select("digest"), "clashes").distinct()
 
     out = rows.join(state, "digest").select(
         "doc_id", F.col("first.doc_id").alias("keep_id"), "group_size",
