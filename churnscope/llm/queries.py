@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnscope.llm import exact_dedup, quality_qda, secrets_crf
+from churnscope.llm import exact_dedup, order_minhash, quality_qda, secrets_crf
 from churnscope.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,8 @@ def op9_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secrets_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return secrets_crf.scan(docs, secrets_crf.train(docs))
+
+
+@_query
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.classes(documents(spark, sf_dir))
