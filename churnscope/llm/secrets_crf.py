@@ -361,3 +361,29 @@ def scan(docs: DataFrame, crf: Crf | None, keep: list[str] | None = None) -> Dat
     return narrow.mapInPandas(run, "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
                                    f"doc_id long{kept}").select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", *(keep or []))
+
+
+def redact(docs: DataFrame, crf: Crf | None, mask: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every span found in ``text`` replaced by ``mask``; texts
+    without spans, null texts and all other columns stay as they are."""
+    modest_batches(docs.sparkSession)
+    skip_plain = crf is not None and crf.plain_is_outside()
+
+    def clean(text: str | None, cache: dict) -> str | None:
+        if not text:
+            return text
+        base, added = scan_text(text, crf, skip_plain, cache)
+        out, at = [], 0
+        for s, e in sorted([x for v in base.values() for x in v] + added):
+            if s >= at:
+                out += [text[at:s], mask]
+            at = max(at, e)
+        return "".join([*out, text[at:]])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache: dict = {}
+        for b in batches:
+            b["text"] = pd.Series([clean(t, cache) for t in b["text"]], index=b.index, dtype=object)
+            yield b
+
+    return docs.mapInPandas(run, docs.schema)
