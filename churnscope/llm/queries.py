@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnscope.llm import exact_dedup, order_minhash, packing, quality_qda, secrets_crf
+from churnscope.llm import exact_dedup, order_minhash, packing, quality_qda, secrets_crf, suffix_dedup
 from churnscope.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
+
+
+@_query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(documents(spark, sf_dir))
