@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnscope.llm import exact_dedup, order_minhash, packing, quality_qda, secrets_crf, suffix_dedup
+from churnscope.llm import ann_tree, exact_dedup, order_minhash, packing, quality_qda, secrets_crf, suffix_dedup
 from churnscope.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats(documents(spark, sf_dir))
+
+
+@_query
+def op4_kmeans_tree_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_tree.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
