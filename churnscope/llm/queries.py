@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnscope.llm import ann_tree, exact_dedup, order_minhash, packing, quality_qda, secrets_crf, suffix_dedup
+from churnscope.llm import ann_tree, exact_dedup, order_minhash, packing, quality_qda, secrets_crf, suffix_dedup, toxicity_fst
 from churnscope.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,9 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_kmeans_tree_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_tree.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@_query
+def op6_toxicity_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity_fst.score(docs, toxicity_fst.train(docs, labels(spark, sf_dir)))
