@@ -7,8 +7,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from churnscope.llm import ann_tree, exact_dedup, order_minhash, packing, quality_qda, secrets_crf, suffix_dedup, toxicity_fst
+from churnscope.llm import (
+    ann_tree, exact_dedup, order_minhash, packing, quality_qda, secrets_crf, sentencepiece_viterbi, suffix_dedup, toxicity_fst,
+    warc_revisit)
 from churnscope.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +71,50 @@ def op4_kmeans_tree_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_toxicity_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return toxicity_fst.score(docs, toxicity_fst.train(docs, labels(spark, sf_dir)))
+
+
+@_query
+def op5_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_viterbi.decode_column(sentencepiece_viterbi.encode(documents(spark, sf_dir)))
+
+
+@_query
+def op7_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_revisit.resolve(warc_revisit.captures_of(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+    lines = F.transform(F.array_sort(F.map_keys("headers")), lambda k: F.concat(k, F.lit("="), F.element_at("headers", k)))
+    return found.select("record_id", "url_key", "refers_to", "status", F.array_join(lines, "|").alias("headers"))
+
+
+ORACLE["op7_warc_revisit"] = r"""
+WITH p AS (SELECT page_id AS p, url, md5(coalesce(html, '')) AS h, 1704067200 + (page_id * 7919) % 2592000 AS t FROM pages),
+f AS (SELECT 'f' || p || '-' || v AS record_id, url, t + v * 400000 AS ts, substr(md5(h || v), 1, 16) AS etag,
+             CAST(t + v * 400000 - 3600 AS VARCHAR) AS modified, 's' || v AS server
+      FROM p, unnest(range(0, p % 3 + 1)) AS u(v)),
+n0 AS (SELECT *, t - 500 + (p * 104729 + v * 611953) % 1296000 AS ts FROM p, unnest([0, 1]) AS u(v)),
+n1 AS (SELECT *, least(p % 3, CAST(floor(greatest(ts - t - 1, 0) / 400000) AS BIGINT)) AS held FROM n0),
+n AS (SELECT 'n' || p || '-' || v AS record_id, url || '#again' AS url, ts,
+             CASE p % 5 WHEN 0 THEN 'W/"' || substr(md5(h || held), 1, 16) || '"' WHEN 1 THEN 'x' || substr(md5(h || held), 1, 16)
+                        WHEN 4 THEN substr(md5(h || held), 1, 16) END AS etag,
+             CASE p % 5 WHEN 2 THEN CAST(t + held * 400000 - 3600 AS VARCHAR) END AS modified FROM n1),
+b AS (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare
+      FROM (SELECT record_id, url, ts, etag, modified, server FROM f UNION ALL SELECT record_id, url, ts, etag, modified, NULL FROM n)),
+q AS (SELECT *, list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+                lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS kept FROM b),
+k AS (SELECT record_id, ts, etag, modified, server,
+             CASE WHEN trim(url) <> '' THEN
+               regexp_replace(regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^www\.', ''), ':(80|443)$', '')
+               || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '')
+               || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END END AS url_key FROM q),
+j AS (SELECT n.record_id, n.url_key, n.ts, n.etag, n.modified, r.record_id AS refers_to, r.etag AS r_etag, r.modified AS r_modified, r.server,
+             row_number() OVER (PARTITION BY n.record_id ORDER BY r.ts DESC NULLS LAST, r.record_id DESC) AS i
+      FROM (SELECT * FROM k WHERE record_id LIKE 'n%') n
+      LEFT JOIN (SELECT * FROM k WHERE record_id LIKE 'f%') r ON n.url_key = r.url_key AND r.ts < n.ts),
+s AS (SELECT *, CASE WHEN url_key IS NULL THEN 'no_url' WHEN refers_to IS NULL THEN 'no_earlier'
+                WHEN etag IS NOT NULL THEN CASE WHEN replace(regexp_replace(etag, '^W/', ''), '"', '') = r_etag THEN 'resolved' ELSE 'validator_mismatch' END
+                WHEN modified IS NOT NULL THEN CASE WHEN modified = r_modified THEN 'resolved' ELSE 'validator_mismatch' END
+                ELSE 'unvalidated' END AS status FROM j WHERE i = 1)
+SELECT record_id, url_key, refers_to, status,
+       CASE WHEN status IN ('resolved', 'unvalidated') THEN
+         'cache-control=max-age=90|content-type=text/html|date=' || ts || '|etag=' || r_etag || '|server=' || server END AS headers
+FROM s
+"""
