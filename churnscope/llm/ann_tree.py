@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnscope.llm.common import written
+from churnscope.llm.common import hash_sample, written
 
 K = 20
 SAMPLE = 30_000
@@ -188,8 +188,7 @@ def search(vectors: DataFrame, k: int = K, every: int = 20, sample: int = SAMPLE
         return vectors.sparkSession.createDataFrame([], schema)
     d = lengths["d"]
     rows = rows.where(F.size("v") == d)
-    hashed = F.xxhash64(F.col("vec_id"), F.lit(11))
-    tree = fit(np.array([r.v for r in rows.orderBy(hashed, "vec_id").limit(sample).collect()]))
+    tree = fit(np.array([r.v for r in hash_sample(rows, sample, "vec_id").collect()]))
 
     def to_leaf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -207,7 +206,7 @@ def search(vectors: DataFrame, k: int = K, every: int = 20, sample: int = SAMPLE
     queries = rows.where(F.col("vec_id") % every == 0)
 
     if visits is None:
-        visits = calibrate(tree, queries.orderBy(hashed, "vec_id").limit(calibration), placed, k, target)
+        visits = calibrate(tree, hash_sample(queries, calibration, "vec_id"), placed, k, target)
 
     def to_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

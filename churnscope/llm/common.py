@@ -70,3 +70,16 @@ def training_labels(labels_df: DataFrame, column: str) -> DataFrame:
                              F.col(column).cast("int").alias("y"))
             .where("doc_id is not null and y is not null").where(~held_out())
             .groupBy("doc_id").agg(F.max("y").alias("y")))
+
+
+def hash_sample(df: DataFrame, rows: int, *key: str, total: int | None = None) -> DataFrame:
+    """About the first ``rows`` rows of ``df`` (never more) by a hash of ``key``.
+    Rows above the hash that should cut off a few more than ``rows`` are dropped
+    before the sort, so tasks hand over little more than the sample together,
+    however many they are. ``total``: the row count of ``df``, if known."""
+    total = df.count() if total is None else total
+    span = 1 << 40
+    h = F.pmod(F.xxhash64(*key, F.lit(17)), F.lit(span))
+    if total > 2 * rows:
+        df = df.where(h < int(span * (rows + 4 * rows ** 0.5 + 10) / total))
+    return df.orderBy(h, *key).limit(rows)

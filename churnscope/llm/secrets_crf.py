@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnscope.llm.common import modest_batches, text_or_empty
+from churnscope.llm.common import hash_sample, modest_batches, text_or_empty
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -330,10 +330,10 @@ def spans_text(spans: dict[str, list[tuple[int, int]]]) -> str:
 
 def train(docs: DataFrame, with_match: int = SAMPLE_WITH, any_doc: int = SAMPLE_ANY) -> Crf | None:
     """Fit on at most ``with_match`` documents with a base match and
-    ``any_doc`` others, the first by a hash of text and id."""
-    narrow = docs.select(text_or_empty().alias("text"), F.xxhash64(F.col("doc_id").cast("long"), F.length("text")).alias("h"))
-    some = narrow.where(F.col("text").rlike(ANY_BASE)).orderBy("h", "text").limit(with_match)
-    plain = narrow.orderBy("h", "text").limit(any_doc)
+    ``any_doc`` of all, the first by a hash of id and text."""
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    some = hash_sample(narrow.where(F.col("text").rlike(ANY_BASE)), with_match, "doc_id", "text")
+    plain = hash_sample(narrow, any_doc, "doc_id", "text")
     return fit([r.text for r in some.union(plain).select("text").collect()])
 
 

@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnscope.llm.common import held_out, modest_batches, small_side, text_or_empty, training_labels, written
+from churnscope.llm.common import hash_sample, held_out, modest_batches, small_side, text_or_empty, training_labels, written
 
 SAMPLE = 20_000
 LEAST_DOCS = 4
@@ -215,8 +215,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 40
 def train(docs: DataFrame, labels_df: DataFrame, sample: int = SAMPLE) -> Model:
     """Lexicon and weights from at most ``sample`` labelled documents."""
     modest_batches(docs.sparkSession)
-    chosen = training_labels(labels_df, "toxic").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id").limit(sample)
-    chosen = written(chosen, "toxic-sample-ids")
+    chosen = written(hash_sample(training_labels(labels_df, "toxic"), sample, "doc_id"), "toxic-sample-ids")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rows = written(texts.join(small_side(chosen), "doc_id").dropDuplicates(["doc_id"]), "toxic-sample")
     counts = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
