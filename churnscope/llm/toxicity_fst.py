@@ -227,7 +227,8 @@ def train(docs: DataFrame, labels_df: DataFrame, sample: int = SAMPLE) -> Model:
     def positive(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = [(d, s) for d, t in zip(b["doc_id"], b["text"]) for s in stems_of(t)]
-            yield pd.DataFrame(out, columns=["doc_id", "stem"])
+            if out:
+                yield pd.DataFrame(out, columns=["doc_id", "stem"])
 
     held = rows.where("y = 1").mapInPandas(positive, "doc_id long, stem string")
     pairs = written(held, "toxic-stems")
@@ -239,7 +240,8 @@ def train(docs: DataFrame, labels_df: DataFrame, sample: int = SAMPLE) -> Model:
         for b in batches:
             for t in b["text"]:
                 seen.update(s for s in stems_of(t) if s in pos)
-        yield pd.DataFrame({"stem": list(seen), "n": list(seen.values())}, columns=["stem", "n"])
+        if seen:
+            yield pd.DataFrame({"stem": list(seen), "n": list(seen.values())})
 
     neg = {r.stem: r.n for r in rows.where("y = 0").mapInPandas(negative, "stem string, n long")
            .groupBy("stem").agg(F.sum("n").alias("n")).collect()}
@@ -248,7 +250,9 @@ def train(docs: DataFrame, labels_df: DataFrame, sample: int = SAMPLE) -> Model:
 
     def holders_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b[b["stem"].isin(wanted)]
+            out = [(d, s) for d, s in zip(b["doc_id"], b["stem"]) if s in wanted]
+            if out:
+                yield pd.DataFrame(out, columns=["doc_id", "stem"])
 
     holders: dict[str, list[int]] = defaultdict(list)
     for r in pairs.mapInPandas(holders_of, "doc_id long, stem string").collect():

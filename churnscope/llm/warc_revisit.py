@@ -83,7 +83,7 @@ def _fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got[old] = np.array([last], dtype=object)
         pending = old & (last[0] is None) & (not changed)
         keep = ~response
-        out = b.loc[keep, ["pid", "url_key", "record_id", "at", "etag", "last_modified", "headers"]].copy()
+        out = pd.DataFrame({c: b[c].to_numpy()[keep] for c in ("pid", "url_key", "record_id", "at", "etag", "last_modified", "headers")})
         out["carry"], out["whole"], out["pending"] = False, False, pending[keep]
         for i, c in enumerate(("ref_id", "ref_etag", "ref_modified", "ref_headers")):
             out[c] = got[keep, i]

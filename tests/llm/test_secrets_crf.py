@@ -1,0 +1,129 @@
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+
+from churnscope.llm import secrets_crf as sc
+
+
+def plain_base(text):
+    """Base spans by trying every start, without the operator's patterns."""
+    low, out = text, {"assign": [], "access": [], "hex": []}
+    value = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
+
+    def assign(i):
+        for w in ("password", "passwd", "secret", "token", "apikey", "api_key"):
+            if "".join(c.lower() if c.isascii() else c for c in low[i:i + len(w)]) == w:
+                j = i + len(w)
+                j += j < len(low) and low[j] in "\"'"
+                while j < len(low) and low[j] == " ":
+                    j += 1
+                if j < len(low) and low[j] in ":=":
+                    j += 1
+                    while j < len(low) and low[j] == " ":
+                        j += 1
+                    j += j < len(low) and low[j] in "\"'"
+                    k = j
+                    while k < len(low) and low[k] in value:
+                        k += 1
+                    if k > j:
+                        return k, k - j >= 12
+        return None
+
+    def run(chars, least, head=""):
+        def at(i):
+            if low[i:i + len(head)] != head:
+                return None
+            k = i + len(head)
+            while k < len(low) and low[k] in chars:
+                k += 1
+            return (k, k - i >= least) if k > i + len(head) - (not head) and k > i else None
+        return at
+
+    kinds = {"assign": assign, "access": run("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 18, "AKIA"), "hex": run("0123456789abcdef", 16)}
+    for kind, f in kinds.items():
+        i = 0
+        while i < len(low):
+            m = f(i)
+            if m is None or m[0] == i + 4 and kind == "access":
+                i += 1
+                continue
+            if m[1]:
+                out[kind].append((i, m[0]))
+            i = m[0]
+    return out
+
+
+PARTS = ["password", "Secret", "api_key", "APIKEY", "toKen", "token", "=", ":", " ", "  ", "\"", "'", "AKIA", "ABCDEF123456789", "deadbeef01234567",
+         "abc", "xyz-_.=+/", "0123456789ab", "é", "\n", "A1B2C3D4E5F6G7", "F00D"]
+
+
+def test_base_spans_against_a_plain_scan():
+    rng = random.Random(1)
+    for _ in range(3000):
+        t = "".join(rng.choice(PARTS) for _ in range(rng.randrange(1, 14)))
+        assert sc.base_spans(t) == plain_base(t), t
+
+
+def sample_crf():
+    rng = random.Random(3)
+    words = ["alpha", "beta", "gamma,", "delta.", "Omega", "it's", "12", "2024-01-02", "x=1"]
+    texts = []
+    for i in range(200):
+        t = [rng.choice(words) for _ in range(60)]
+        if i % 2:
+            t.insert(30, rng.choice(["password=%s", 'token = "%s"', "AKIA%s"]) % "".join(rng.choice("ABCDEF0123456789" if i % 4 == 1 else "abcdef0123456789") for _ in range(20)))
+        texts.append(" ".join(t))
+    return sc.fit(texts), texts
+
+
+def test_viterbi_is_the_best_path_and_skipping_changes_nothing():
+    crf, texts = sample_crf()
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        e = rng.normal(0, 2, (6, 3))
+        path = lambda p: sum(e[i, y] for i, y in enumerate(p)) + sum(crf.transitions[a, b] for a, b in zip(p, p[1:]))
+        best = max(itertools.product(range(3), repeat=6), key=path)
+        assert abs(path(best) - path(crf.decode(e))) < 1e-9
+    assert crf.plain_is_outside()
+    for t in texts:
+        assert sc.crf_spans(t, crf, True, {}) == sc.crf_spans(t, crf, False, {})
+
+
+def test_crf_adds_spans_and_keeps_base():
+    crf, _ = sample_crf()
+    text = "alpha token : ~ 9F8E7D6C5B4A39281706 beta gamma, password=abcdef012345678901234 delta."
+    base, added = sc.scan_text(text, crf, True, {})
+    assert base == sc.base_spans(text) and len(base["assign"]) == 1
+    taken = [s for v in base.values() for s in v]
+    assert all(e <= a or s >= b for s, e in added for a, b in taken)
+    tagged = sc.crf_spans(text, crf, True, {})
+    assert any(text[s:e].startswith("abcdef0123") for s, e in tagged)  # what the patterns know, the CRF knows too
+
+
+def test_edges(edge_docs, edge_rows, no_docs):
+    crf = sc.train(edge_docs)
+    got = {}
+    for r in sc.scan(edge_docs, crf).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert sum(map(len, got.values())) == len(edge_rows)
+    for i, t in edge_rows:
+        base = sc.base_spans(t)
+        text = sc.spans_text(base)
+        want = (len(base["assign"]), len(base["access"]), len(base["hex"]), hashlib.sha256(text.encode()).hexdigest())
+        assert want in [(r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in got[i]]
+        for r in got[i]:
+            spans = [s.split(":") for s in r.spans.split(",") if s]
+            assert [int(s[1]) for s in spans] == sorted(int(s[1]) for s in spans)
+    assert sc.scan(no_docs, None).count() == 0 and sc.train(no_docs) is None
+
+
+def test_redaction_takes_out_every_span(edge_docs):
+    out = sc.redact(edge_docs, None)
+    assert out.columns == edge_docs.columns
+    texts = [r.text for r in out.collect()]
+    assert len(texts) == edge_docs.count() and None in texts
+    assert "[SECRET] [SECRET]" in texts
+    assert not any(re.search(sc.ANY_BASE, t) for t in texts if t)
