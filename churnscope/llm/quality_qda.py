@@ -73,15 +73,16 @@ def statistics(text: str) -> np.ndarray:
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, x) with x the statistics of the whole text."""
+    """(doc_id, text_md5, x) with x the statistics of the whole text."""
     modest_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "x": [statistics(t) for t in b["text"]]})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "text_md5": b["text_md5"], "x": [statistics(t) for t in b["text"]]})
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return narrow.mapInPandas(run, "doc_id long, x array<double>")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"),
+                         F.md5(text_or_empty()).alias("text_md5"))
+    return narrow.mapInPandas(run, "doc_id long, text_md5 string, x array<double>")
 
 
 @dataclass
@@ -153,15 +154,15 @@ def fit(rows: DataFrame, shrinkage: float = SHRINKAGE, ridge: float = RIDGE) ->
 
 
 def score(docs: DataFrame, labels_df: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document."""
+    """doc_id, held_out, score, predicted, text_md5 of every document."""
     x = written(with_statistics(docs), "quality-statistics")
     model = fit(x.join(training_labels(labels_df, "quality"), "doc_id"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             v = np.stack(b["x"].to_numpy()) if len(b) else np.zeros((0, len(FEATURES)))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "score": model.scores(v)})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "text_md5": b["text_md5"], "score": model.scores(v)})
 
-    scored = x.mapInPandas(run, "doc_id long, score double")
+    scored = x.mapInPandas(run, "doc_id long, text_md5 string, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score",
-                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"), "text_md5")

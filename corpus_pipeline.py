@@ -11,51 +11,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnscope.llm import exact_dedup, order_minhash, packing, quality_qda, secrets_crf
-from churnscope.llm.common import documents, labels, small_side, written
+from churnscope.llm.common import documents, labels, small_side, text_or_empty, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is in ``ids`` (one column, distinct)."""
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["id"]), "left_semi").select(*COLUMNS)
+def _kept(docs: DataFrame, key: Column, decided: DataFrame, once: bool) -> DataFrame:
+    """The rows of ``docs`` that ``decided`` (doc_id, key, kept) keeps; a row is
+    known by its doc_id and ``key``, a value of its text. ``once``: of rows that
+    agree in both, one stays."""
+    per_row = decided.groupBy(F.col("doc_id").alias("id"), "key").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    few = written(per_row.where("not kept or n > 1"), "decided")
+    rows = docs.select(*COLUMNS, key.alias("row_key"))
 
+    def same(side: DataFrame) -> Column:
+        return rows["doc_id"].eqNullSafe(side["id"]) & (rows["row_key"] == side["key"])
 
-def _without_ids(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows of ``docs`` but those whose doc_id is in ``dropped``."""
-    dropped = small_side(written(dropped.select(F.col("doc_id").alias("id")).distinct(), "dropped"))
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["id"]), "left_anti").select(*COLUMNS)
-
-
-def _one_row_each(docs: DataFrame) -> DataFrame:
-    """Rows that repeat a kept document whole count once."""
-    several = written(docs.groupBy("doc_id").count().where("count > 1").select("doc_id"), "several")
-    if several.isEmpty():
-        return docs
-    again = docs.join(several, docs["doc_id"].eqNullSafe(several["doc_id"]), "left_semi")
-    return _without_ids(docs, several).unionByName(again.dropDuplicates(["doc_id", "text"]))
+    gone = small_side(few if once else few.where("not kept"))
+    left = rows.join(gone, same(gone), "left_anti").select(*COLUMNS)
+    several = few.where("kept and n > 1")
+    if not once or several.isEmpty():
+        return left
+    again = rows.join(several, same(several), "left_semi").dropDuplicates(["doc_id", "row_key"])
+    return left.unionByName(again.select(*COLUMNS))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     scored = quality_qda.score(docs, labels(spark, sf_dir))
-    return _without_ids(docs, scored.where("predicted = 0"))
+    return _kept(docs, F.md5(text_or_empty()), scored.select("doc_id", F.col("text_md5").alias("key"), (F.col("predicted") == 1).alias("kept")), False)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the smallest id stays."""
-    found = written(exact_dedup.dedup(docs).select("doc_id", "keep_id"), "exact")
-    return _one_row_each(_without_ids(docs, found.where("not doc_id <=> keep_id")))
+    found = exact_dedup.dedup(docs).select("doc_id", F.col("text_sha256").alias("key"), "kept")
+    return _kept(docs, F.sha2(exact_dedup.normalised(), 256), found, True)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays, the smallest id."""
-    found = written(order_minhash.classes(docs).select("doc_id", "kept"), "near")
-    return _without_ids(docs, found.where("not kept"))
+    found = order_minhash.classes(docs).select("doc_id", F.col("text_md5").alias("key"), "kept")
+    return _kept(docs, F.md5(order_minhash.normalised()), found, True)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
