@@ -40,31 +40,36 @@ def to_double(col: Column) -> Column:
     return col.cast("double")
 
 
-def cents(price: Column, quantity: Column) -> Column:
-    """Line amount in integer cents: exact, and summed as a 64-bit integer
-    (a ``decimal(33,2)`` sum would run on BigDecimal objects)."""
-    return (price * F.lit(100)).cast("bigint") * quantity.cast("bigint")
+#: Amounts are counted in millionths, the scale of the price type decimal(20,6).
+UNITS = 1_000_000
+_EXACT = 1 << 53
 
 
-def money(cents_col: Column) -> Column:
-    """Integer cents → currency as double (the correctly rounded value,
-    identical to casting the exact decimal sum)."""
-    return cents_col.cast("double") / F.lit(100.0)
+def units(price: Column, quantity: Column) -> Column:
+    """Line amount in integer millionths: exact, and summed per customer as a
+    64-bit integer (a decimal sum would run on BigDecimal objects); a sum that
+    doesn't fit raises (ANSI)."""
+    return (price * F.lit(UNITS)).cast("bigint") * quantity.cast("bigint")
 
 
-def half_up(col: Column, digits: int) -> Column:
-    """Round half up on the binary value: ``floor(x·10^d + 0.5) / 10^d``.
+def sum_units(col: str = "Monetary_exact") -> Column:
+    """Exact sum of per-customer amounts over any number of customers."""
+    return F.sum(F.col(col).cast("decimal(20,0)"))
 
-    Written the same way in the SQL oracle, so both engines give the same
-    double. (pandas rounds half-to-even; the two differ only on exact ties.)
-    Magnitudes of 1e12 and more are returned as they are: a double has no
-    digits left at that scale, and ``floor`` must not overflow a bigint.
-    """
+
+def money(units_col: Column) -> Column:
+    """Integer millionths → currency as the nearest double, identical to
+    casting the exact decimal: whole numbers of up to 2^53 are exact doubles
+    and one division rounds once; larger ones are divided as decimals."""
+    d = units_col.cast("decimal(38,0)")
+    exact = F.try_divide(d, F.lit(UNITS).cast("decimal(7,0)")).cast("double")
+    return F.when(F.abs(units_col) <= F.lit(_EXACT), units_col.cast("double") / F.lit(float(UNITS))).otherwise(exact)
+
+
+def round_even(col: Column, digits: int) -> Column:
+    """Round half to even like numpy and pandas: ``rint(x·10^d) / 10^d``."""
     scale = float(10 ** digits)
-    x = col.cast("double")
-    return (F.when(F.abs(x) < F.lit(1e12),
-                   F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale))
-            .otherwise(x))
+    return F.rint(col.cast("double") * F.lit(scale)) / F.lit(scale)
 
 
 def true_or_false(cond: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnscope.functions.columns import cents, elapsed_days, is_return, safe_div, to_double
+from churnscope.functions.columns import elapsed_days, is_return, safe_div, to_double, units
 from churnscope.operators.ranking import exact_quantiles
 
 
@@ -14,30 +14,21 @@ def drop_missing_customers(tx: DataFrame) -> DataFrame:
     return tx.filter(F.col("CustomerID").isNotNull())
 
 
-def with_return_flag(tx: DataFrame) -> DataFrame:
-    """``is_return`` column."""
-    return tx.withColumn("is_return", is_return("InvoiceNo"))
-
-
 def valid_sales(tx: DataFrame, country: str | None = None) -> DataFrame:
     """P3 + P4 + P5: positive quantity and price, not a return, known
     customer, optional country scope; adds ``TotalAmount`` (exact decimal)
-    and ``amount_cents`` (the same amount as a bigint, used by aggregates).
+    and ``amount_units`` (the same amount as a bigint, used by aggregates).
 
-    All predicates are simple comparisons on scan columns, so they reach
-    the Parquet reader as pushed filters."""
+    On a table of invoice lines the predicates are comparisons on scan
+    columns and reach the reader; on the joined test tables only the null
+    tests can."""
     cond = ((F.col("Quantity") > 0) & (F.col("UnitPrice") > 0)
             & ~is_return("InvoiceNo") & F.col("CustomerID").isNotNull())
     if country is not None:
         cond = cond & (F.col("Country") == F.lit(country))
     return (tx.filter(cond)
             .withColumn("TotalAmount", F.col("Quantity").cast("decimal(10,0)") * F.col("UnitPrice"))
-            .withColumn("amount_cents", cents(F.col("UnitPrice"), F.col("Quantity"))))
-
-
-def country_scope(clean: DataFrame, country: str | None) -> DataFrame:
-    """P5 alone (the interactive y/n choice becomes a parameter)."""
-    return clean if country is None else clean.filter(F.col("Country") == country)
+            .withColumn("amount_units", units(F.col("UnitPrice"), F.col("Quantity"))))
 
 
 def returns_sample(tx: DataFrame, n: int | None = 5) -> DataFrame:

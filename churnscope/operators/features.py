@@ -97,13 +97,6 @@ def derive_ch(data: DataFrame) -> DataFrame:
                         F.col("Monetary") / (F.col("lifetime_days") + 1).cast("double")))
 
 
-def fill_features(df: DataFrame, cols: list[str]) -> DataFrame:
-    """P8 + P9: keep the listed features that exist; NULL/NaN/±inf → 0."""
-    present = [c for c in cols if c in df.columns]
-    return df.select(*[nan_free(F.col(c)).alias(c) if c in present else F.col(c)
-                       for c in df.columns])
-
-
 def feature_table(rfm_internal: DataFrame, stats: DataFrame, kind: str = "ts",
                   params: Params = DEFAULT) -> DataFrame:
     """``rfm ⟕ sequence features`` plus derived columns, one row per
@@ -135,6 +128,6 @@ def feature_names(kind: str = "ts") -> list[str]:
     return list(TS_MODEL_FEATURES if kind == "ts" else CH_MODEL_FEATURES)
 
 
-__all__ = ["derive_ts", "derive_ch", "fill_features", "feature_table",
+__all__ = ["derive_ts", "derive_ch", "feature_table",
            "model_frame", "feature_names", "TS_MODEL_FEATURES",
            "CH_MODEL_FEATURES"]

@@ -102,7 +102,7 @@ def confusion(df: DataFrame, label: str = "is_churned", pred: str | None = None,
                                   "actual int, predicted int")
     g = df.groupBy(F.col(label).cast("int").alias("actual"), p.cast("int")).agg(
         F.count(F.lit(1)).alias("customers"))
-    return (F.broadcast(cells).join(g, ["actual", "predicted"], "left")
+    return (cells.join(g, ["actual", "predicted"], "left")
             .withColumn("customers", F.coalesce(F.col("customers"), F.lit(0)).cast("bigint")))
 
 

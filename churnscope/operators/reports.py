@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnscope.config import DEFAULT
-from churnscope.functions.columns import half_up, money, safe_div, true_or_false
+from churnscope.functions.columns import money, round_even, safe_div, sum_units, true_or_false
 from churnscope.functions.rules import ACTION_PLANS, RISK_TIERS, SEGMENT_STRATEGY, risk_tier
 
 def _all():
@@ -25,12 +25,12 @@ def _mean(col: str):
 
 
 def _revenue():
-    """Exact revenue of a group: the integer-cent sum as currency."""
-    return money(F.sum("Monetary_exact"))
+    """Exact revenue of a group: the sum of exact amounts as currency."""
+    return money(sum_units())
 
 
 def _mean_revenue():
-    return money(F.sum("Monetary_exact")) / F.count(F.lit(1)).cast("double")
+    return money(sum_units()) / F.count(F.lit(1)).cast("double")
 
 
 def segment_sizes(rfm: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def churn_totals(rfm: DataFrame) -> DataFrame:
 
 def segment_churn(rfm: DataFrame) -> DataFrame:
     """R3 (+K1 order): churn rate (3 dp) and size per segment."""
-    g = rfm.groupBy("Segment").agg(half_up(_mean("is_churned"), 3).alias("Churn_Rate"),
+    g = rfm.groupBy("Segment").agg(round_even(_mean("is_churned"), 3).alias("Churn_Rate"),
                                    F.count(F.lit(1)).alias("Customer_Count"))
     return g.orderBy(F.desc("Churn_Rate"), "Segment")
 
@@ -65,13 +65,13 @@ def high_value_share(rfm: DataFrame) -> DataFrame:
     hv = F.col("is_high_value") == 1
     g = rfm.agg(F.count(F.lit(1)).alias("customers"),
                 F.count_if(hv).alias("high_value_customers"),
-                F.sum(F.when(hv, F.col("Monetary_exact"))).alias("_hv_rev"),
-                F.sum("Monetary_exact").alias("_rev"))
+                F.sum(F.when(hv, F.col("Monetary_exact").cast("decimal(20,0)"))).alias("_hv_rev"),
+                sum_units().alias("_rev"))
     return g.select(
         "high_value_customers",
         (F.col("high_value_customers").cast("double") * 100.0
          / F.col("customers").cast("double")).alias("high_value_pct"),
-        (money(F.coalesce(F.col("_hv_rev"), F.lit(0))) * 100.0
+        (money(F.coalesce(F.col("_hv_rev"), F.lit(0).cast("decimal(20,0)"))) * 100.0
          / money(F.col("_rev"))).alias("revenue_share_pct"))
 
 
@@ -79,19 +79,19 @@ def segment_summary(rfm: DataFrame) -> DataFrame:
     """The segment summary file (2 dp) with Revenue_Contribution (1 dp)
     computed from the already rounded Total_Revenue."""
     g = rfm.groupBy("Segment").agg(
-        half_up(_mean("Recency"), 2).alias("Avg_Recency"),
-        half_up(_mean("Frequency"), 2).alias("Avg_Frequency"),
-        half_up(money(F.sum("Monetary_exact")) / F.count(F.lit(1)).cast("double"), 2)
+        round_even(_mean("Recency"), 2).alias("Avg_Recency"),
+        round_even(_mean("Frequency"), 2).alias("Avg_Frequency"),
+        round_even(money(sum_units()) / F.count(F.lit(1)).cast("double"), 2)
         .alias("Avg_Monetary"),
-        half_up(money(F.sum("Monetary_exact")), 2).alias("Total_Revenue"),
-        half_up(F.avg("avg_order_value"), 2).alias("Avg_AOV"),
-        half_up(_mean("is_churned"), 2).alias("Churn_Rate"),
+        round_even(money(sum_units()), 2).alias("Total_Revenue"),
+        round_even(F.avg("avg_order_value"), 2).alias("Avg_AOV"),
+        round_even(_mean("is_churned"), 2).alias("Churn_Rate"),
         F.sum("is_high_value").cast("bigint").alias("High_Value_Count"),
         F.count(F.lit(1)).alias("Customer_Count"),
-        F.sum("Monetary_exact").alias("_rev"))
+        sum_units().alias("_rev"))
     total = F.sum("_rev").over(_all())
     return (g.withColumn("Revenue_Contribution",
-                         half_up(F.col("Total_Revenue") / money(total) * 100.0, 1))
+                         round_even(F.col("Total_Revenue") / money(total) * 100.0, 1))
             .drop("_rev"))
 
 
@@ -105,7 +105,7 @@ def at_risk_revenue(rfm: DataFrame, segments=DEFAULT.high_risk_segments) -> Data
     """Customers and revenue at stake in the at-risk segments."""
     return (rfm.filter(F.col("Segment").isin(*segments)).groupBy("Segment")
             .agg(F.count(F.lit(1)).alias("customers"),
-                 money(F.sum("Monetary_exact")).alias("revenue")))
+                 money(sum_units()).alias("revenue")))
 
 
 def high_risk_list(rfm: DataFrame, segments=DEFAULT.high_risk_segments) -> DataFrame:
@@ -158,14 +158,14 @@ def tier_summary(scored: DataFrame, prob: str = "churn_probability",
                  "risk_level string, tier_order int")
     x = with_risk_tier(scored, prob).filter(F.col("risk_level").isNotNull())
     aggs = [F.count(F.lit(1)).alias("customers"),
-            half_up(_mean_revenue(), 2).alias("Monetary_mean"),
-            half_up(_revenue(), 2).alias("Monetary_sum"),
-            half_up(F.avg("Frequency"), 2).alias("Frequency_mean"),
-            half_up(F.avg("is_churned"), 2).alias("is_churned_mean")]
+            round_even(_mean_revenue(), 2).alias("Monetary_mean"),
+            round_even(_revenue(), 2).alias("Monetary_sum"),
+            round_even(F.avg("Frequency"), 2).alias("Frequency_mean"),
+            round_even(F.avg("is_churned"), 2).alias("is_churned_mean")]
     if with_probability:
-        aggs.append(half_up(F.avg(prob), 2).alias("churn_probability_mean"))
+        aggs.append(round_even(F.avg(prob), 2).alias("churn_probability_mean"))
     g = x.groupBy("risk_level").agg(*aggs)
-    out = F.broadcast(tiers).join(g, "risk_level", "left")
+    out = tiers.join(g, "risk_level", "left")
     return out.withColumn("customers", F.coalesce(F.col("customers"), F.lit(0)).cast("bigint"))
 
 
@@ -184,17 +184,17 @@ def segment_risk(scored: DataFrame, prob: str = "churn_probability") -> DataFram
     """Mean / sample std of the probability, size and revenue per
     segment (3 dp), probability descending."""
     g = scored.groupBy("Segment").agg(
-        half_up(F.avg(prob), 3).alias("churn_probability_mean"),
-        half_up(F.stddev_samp(prob), 3).alias("churn_probability_std"),
+        round_even(F.avg(prob), 3).alias("churn_probability_mean"),
+        round_even(F.stddev_samp(prob), 3).alias("churn_probability_std"),
         F.count(F.lit(1)).alias("CustomerID_count"),
-        half_up(_revenue(), 3).alias("Monetary_sum"))
+        round_even(_revenue(), 3).alias("Monetary_sum"))
     return g.orderBy(F.desc("churn_probability_mean"), "Segment")
 
 
 def segment_risk_ts(scored: DataFrame, prob: str = "churn_probability") -> DataFrame:
     """R10 (time-series step): mean probability (3 dp) and size per
     segment, probability descending."""
-    g = scored.groupBy("Segment").agg(half_up(F.avg(prob), 3).alias("churn_probability"),
+    g = scored.groupBy("Segment").agg(round_even(F.avg(prob), 3).alias("churn_probability"),
                                       F.count(F.lit(1)).alias("CustomerID"))
     return g.orderBy(F.desc("churn_probability"), "Segment")
 
@@ -204,17 +204,17 @@ def segment_risk_file(scored: DataFrame, kind: str = "ts",
     """The segment risk file of either step (3 dp)."""
     last = ("purchase_interval_trend" if kind == "ts" else "risk_score")
     cols = [F.count(F.lit(1)).alias("CustomerID_count"),
-            half_up(F.avg(prob), 3).alias("churn_probability_mean"),
-            half_up(F.stddev_samp(prob), 3).alias("churn_probability_std"),
-            half_up(F.avg("is_churned"), 3).alias("is_churned_mean"),
-            half_up(_mean_revenue(), 3).alias("Monetary_mean"),
-            half_up(_revenue(), 3).alias("Monetary_sum")]
+            round_even(F.avg(prob), 3).alias("churn_probability_mean"),
+            round_even(F.stddev_samp(prob), 3).alias("churn_probability_std"),
+            round_even(F.avg("is_churned"), 3).alias("is_churned_mean"),
+            round_even(_mean_revenue(), 3).alias("Monetary_mean"),
+            round_even(_revenue(), 3).alias("Monetary_sum")]
     if kind == "ts":
-        cols += [half_up(F.avg("recent_activity_ratio_30d"), 3).alias("recent_activity_ratio_30d_mean"),
-                 half_up(F.avg(last), 3).alias(f"{last}_mean")]
+        cols += [round_even(F.avg("recent_activity_ratio_30d"), 3).alias("recent_activity_ratio_30d_mean"),
+                 round_even(F.avg(last), 3).alias(f"{last}_mean")]
     else:
-        cols += [half_up(F.avg(last), 3).alias(f"{last}_mean"),
-                 half_up(F.avg("recent_activity_ratio_30d"), 3).alias("recent_activity_ratio_30d_mean")]
+        cols += [round_even(F.avg(last), 3).alias(f"{last}_mean"),
+                 round_even(F.avg("recent_activity_ratio_30d"), 3).alias("recent_activity_ratio_30d_mean")]
     return scored.groupBy("Segment").agg(*cols)
 
 
@@ -237,7 +237,7 @@ def early_warning(scored: DataFrame, prob: str = "churn_probability",
 
 def revenue_share_by_segment(rfm: DataFrame, n: int = 10) -> DataFrame:
     """B1."""
-    g = rfm.groupBy("Segment").agg(F.sum("Monetary_exact").alias("_rev"))
+    g = rfm.groupBy("Segment").agg(sum_units().alias("_rev"))
     return (g.select("Segment", (money(F.col("_rev")) * 100.0
                                  / money(F.sum("_rev").over(_all()))).alias("revenue_pct"))
             .orderBy(F.desc("revenue_pct"), "Segment").limit(n))
@@ -293,11 +293,3 @@ def mean_probability_by_segment(scored: DataFrame, prob: str = "churn_probabilit
 def rf_scatter(rfm: DataFrame) -> DataFrame:
     """The points of the Recency × Frequency chart coloured by Monetary."""
     return rfm.select("CustomerID", "Recency", "Frequency", "Monetary")
-
-
-def top_n(df: DataFrame, by: list, n: int) -> DataFrame:
-    """K4: ordered head (TakeOrderedAndProject: a per-task top-n, then a
-    merge of at most n rows per task)."""
-    return df.orderBy(*by).limit(n)
-
-

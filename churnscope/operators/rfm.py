@@ -30,14 +30,14 @@ def rfm_base(clean: DataFrame, ad: DataFrame | None = None) -> DataFrame:
     """A2-A7 in one per-customer aggregate (the lifetime "merge" of the
     original becomes two more aggregate columns, no join).
 
-    Keeps the exact sum in integer cents as ``Monetary_exact`` for ranking. Without
+    Keeps the exact sum in integer millionths as ``Monetary_exact`` for ranking. Without
     ``ad`` the analysis date is taken from the per-customer last purchase
     (the same aggregate, its exchange reused) instead of another scan."""
     base = clean.groupBy("CustomerID").agg(
         F.max("InvoiceDate").alias("_last"),
         F.min("InvoiceDate").alias("_first"),
         F.count_distinct("InvoiceNo").alias("Frequency"),
-        F.sum("amount_cents").alias("Monetary_exact"))
+        F.sum("amount_units").alias("Monetary_exact"))
     if ad is None:
         ad = base.agg((F.max("_last") + F.expr("INTERVAL 1 DAY"))
                       .cast("timestamp_ntz").alias("analysis_date"))

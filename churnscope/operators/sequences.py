@@ -40,7 +40,7 @@ DAY_US = 86_400_000_000
 def ts_grain(clean: DataFrame) -> DataFrame:
     """(customer, timestamp) → lines, amount."""
     return (clean.groupBy(C, F.col("InvoiceDate").alias("ts"))
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("amount_cents").alias("amt"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("amount_units").alias("amt"))
             .withColumn("day", F.to_date("ts")))
 
 
@@ -56,7 +56,7 @@ def daily_purchases(clean: DataFrame) -> DataFrame:
     text ``nan``, as the original casts it to string first."""
     inv = F.coalesce(F.col("InvoiceNo"), F.lit("nan"))
     return (clean.groupBy(C, F.to_date("InvoiceDate").alias("Date"))
-            .agg(money(F.sum("amount_cents")).alias("Amount"),
+            .agg(money(F.sum("amount_units")).alias("Amount"),
                  F.count_distinct(inv).alias("Orders")))
 
 
@@ -200,7 +200,7 @@ def _d(col: str):
 
 
 def _m(col: str):
-    """A cents column as currency."""
+    """An exact amount as currency."""
     return money(F.col(col))
 
 

@@ -4,7 +4,7 @@ Each entry pairs a Spark builder ``(spark, sf_dir) -> DataFrame`` with an
 independent DuckDB statement over the raw test tables (``None`` for model
 training, whose results are checked on rows only). Floating columns that
 two engines may sum in a different order are rounded half-up to 6 dp on
-both sides (``half_up`` / ``half_up_sql``).
+both sides (``round_even`` / ``round_sql``).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnscope.functions.columns import half_up, to_double
+from churnscope.functions.columns import round_even, to_double
 from churnscope.functions.rules import ACTION_PLANS, SEGMENT_STRATEGY
 from churnscope.operators import campaign as cp
 from churnscope.operators import clean as cl
@@ -43,8 +43,8 @@ def register(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column half-up (same formula as the SQL side)."""
-    return df.select(*[half_up(F.col(f.name), digits).alias(f.name)
+    """Round every double column half to even (same formula as the SQL side)."""
+    return df.select(*[round_even(F.col(f.name), digits).alias(f.name)
                        if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -59,7 +59,7 @@ def sql(body: str, source: str = "orders", level: str = "rfm") -> str:
 
 
 def R(expr: str, digits: int = 6) -> str:
-    return O.half_up_sql(expr, digits)
+    return O.round_sql(expr, digits)
 
 
 # ---------------------------------------------------------------------------
@@ -89,7 +89,7 @@ VALID_COLS = TX_COLS + ", CAST(TotalAmount AS DOUBLE) AS TotalAmount"
 
 def _valid_double(df: DataFrame) -> DataFrame:
     return _tx_double(df).withColumn("TotalAmount", to_double(F.col("TotalAmount"))).drop(
-        "amount_cents")
+        "amount_units")
 
 
 @register("valid_sales", sql(f"SELECT {VALID_COLS} FROM clean", level="clean"))
@@ -722,7 +722,7 @@ def q_campaign_roi_ch(spark, sf):
     f"SELECT threshold, targets, {R('roi')} AS roi FROM e"))
 def q_roi_curve(spark, sf):
     # the threshold grid stays exact (e.g. 0.6499999999999999); only ROI is rounded
-    return cp.roi_curve(_scored(spark, sf, "ch")).withColumn("roi", half_up(F.col("roi"), 6))
+    return cp.roi_curve(_scored(spark, sf, "ch")).withColumn("roi", round_even(F.col("roi"), 6))
 
 
 @register("roi_best_threshold", _econ_sql(
@@ -731,7 +731,7 @@ def q_roi_curve(spark, sf):
     "FROM (SELECT 1 AS one) d LEFT JOIN (SELECT threshold, roi, targets FROM e WHERE targets > 10 "
     "ORDER BY floor(roi * 1000000.0 + 0.5) DESC, threshold LIMIT 1) b ON true"))
 def q_roi_best_threshold(spark, sf):
-    return cp.best_threshold(_scored(spark, sf, "ch")).withColumn("roi", half_up(F.col("roi"), 6))
+    return cp.best_threshold(_scored(spark, sf, "ch")).withColumn("roi", round_even(F.col("roi"), 6))
 
 
 # ---------------------------------------------------------------------------

@@ -17,7 +17,7 @@ tx AS (
          CASE WHEN l.l_returnflag = 'R' THEN -CAST(l.l_quantity AS INTEGER)
               ELSE CAST(l.l_quantity AS INTEGER) END AS Quantity,
          o.o_orderdate AS InvoiceDate,
-         CAST(p.p_retailprice AS DECIMAL(12,2)) AS UnitPrice,
+         CAST(p.p_retailprice AS DECIMAL(20,6)) AS UnitPrice,
          o.o_custkey AS CustomerID,
          n.n_name AS Country
   FROM lineitem l
@@ -34,7 +34,7 @@ tx AS (
          props AS StockCode,
          CAST(1 AS INTEGER) AS Quantity,
          ts AS InvoiceDate,
-         CAST(value AS DECIMAL(12,2)) AS UnitPrice,
+         CAST(value AS DECIMAL(20,6)) AS UnitPrice,
          user_id AS CustomerID,
          'ONLINE' AS Country
   FROM events WHERE event_type IN ('purchase', 'error')
@@ -257,15 +257,15 @@ def seq_prefix(source: str = "orders", churn_days: int = 120) -> list[str]:
     return rfm_prefix(source, churn_days) + [SEQ]
 
 
-def half_up_sql(expr: str, digits: int = 6) -> str:
+def round_sql(expr: str, digits: int = 6) -> str:
+    """Half-to-even rounding, the way numpy and pandas round."""
     scale = f"{10 ** digits}.0"
-    x = f"CAST({expr} AS DOUBLE)"
-    return f"(CASE WHEN abs({x}) < 1e12 THEN floor({x} * {scale} + 0.5) / {scale} ELSE {x} END)"
+    return f"(round_even(CAST({expr} AS DOUBLE) * {scale}, 0) / {scale})"
 
 
 def select_rounded(columns: list[tuple[str, bool]], source: str, digits: int = 6) -> str:
     """SELECT list where the flagged (double) columns are rounded half-up."""
-    items = [f"{half_up_sql(c, digits)} AS {c}" if rnd else c for c, rnd in columns]
+    items = [f"{round_sql(c, digits)} AS {c}" if rnd else c for c, rnd in columns]
     return f"SELECT {', '.join(items)} FROM {source}"
 
 # -- feature tables and the deterministic score ---------------------------------

@@ -76,29 +76,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def size_shuffles(spark: SparkSession, source, target_bytes: int = 256 << 20,
-                  max_partitions: int = 100_000) -> int:
-    """Size shuffles for the input at hand.
+def input_bytes(df) -> int:
+    """Bytes on storage of the files that ``df`` scans."""
+    files = df.inputFiles()
+    if not files:
+        return 0
+    sizes = df.sparkSession.read.format("binaryFile").load(files).agg({"length": "sum"})
+    return int(sizes.first()[0] or 0)
 
-    The input size is the sum of the statistics of the leaves (scanned
-    relations) of ``source``'s optimised plan — for file sources the bytes
-    on storage; join estimates are not used, they overstate. Shuffle partitions
-    are set to about one per ``target_bytes`` of input (at least two per
-    core), and adaptive execution is told the same advisory size, so that a
-    100 TB run gets tens of thousands of partitions that fit executor memory
-    while a small run is coalesced. A value the user set explicitly (not
-    Spark's default of 200) is left alone. Returns the partition count used.
-    """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        leaves = source._jdf.queryExecution().optimizedPlan().collectLeaves()
-        size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:  # noqa: BLE001 - statistics are best effort
-        return current
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    if current != 200:
-        return current
-    cores = spark.sparkContext.defaultParallelism
-    n = max(2 * cores, min(max_partitions, -(-size // target_bytes)))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+
+def size_shuffles(spark: SparkSession, source, target_bytes: int = 256 << 20) -> int:
+    """Set how many partitions adaptive execution starts from, for the input at
+    hand: one per ``target_bytes`` of its files, at least two per core. It is
+    set anew for every run and leaves ``spark.sql.shuffle.partitions`` alone;
+    adaptive execution merges what turns out small. Returns the number."""
+    n = max(2 * spark.sparkContext.defaultParallelism, -(-input_bytes(source) // target_bytes))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
     return n

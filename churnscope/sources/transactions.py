@@ -3,11 +3,13 @@
 The engine works on one row per invoice *line* with this contract::
 
     InvoiceNo string, StockCode string, Quantity int,
-    InvoiceDate timestamp_ntz, UnitPrice decimal(12,2),
+    InvoiceDate timestamp_ntz, UnitPrice decimal(20,6),
     CustomerID bigint (nullable), Country string
 
-Money stays ``decimal(12,2)`` so that sums are exact and independent of the
-order in which partitions are combined.
+Prices are exact decimals with six places, so that sums are exact and
+independent of the order in which partitions are combined. A value that can't
+be read, or would lose digits, is a reject: reading fails on it, or
+``read_rejects`` lists it; it never becomes a null or another number.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(12, 2)
+MONEY = T.DecimalType(20, 6)
 
 TRANSACTION_SCHEMA = T.StructType([
     T.StructField("InvoiceNo", T.StringType(), True),
@@ -31,18 +33,7 @@ TRANSACTION_SCHEMA = T.StructType([
     T.StructField("Country", T.StringType(), True),
 ])
 
-# Raw retail CSV as published (Description is carried but never used;
-# CustomerID is written as a float such as 15749.0).
-CSV_SCHEMA = T.StructType([
-    T.StructField("InvoiceNo", T.StringType(), True),
-    T.StructField("StockCode", T.StringType(), True),
-    T.StructField("Description", T.StringType(), True),
-    T.StructField("Quantity", T.StringType(), True),
-    T.StructField("InvoiceDate", T.StringType(), True),
-    T.StructField("UnitPrice", T.StringType(), True),
-    T.StructField("CustomerID", T.StringType(), True),
-    T.StructField("Country", T.StringType(), True),
-])
+CONTRACT = [f.name for f in TRANSACTION_SCHEMA.fields]
 
 # Date layouts accepted for InvoiceDate in text files
 # (ISO as written by the cleaning step, and the month/day/year form of the
@@ -57,61 +48,101 @@ def parse_invoice_date(col: Column) -> Column:
                         for fmt in DATE_FORMATS])
 
 
-def _conform(df: DataFrame) -> DataFrame:
-    """Cast a frame with the contract's column names to the contract types."""
-    return df.select(
-        F.col("InvoiceNo").cast("string").alias("InvoiceNo"),
-        F.col("StockCode").cast("string").alias("StockCode"),
-        F.col("Quantity").cast("int").alias("Quantity"),
-        F.col("InvoiceDate").cast("timestamp_ntz").alias("InvoiceDate"),
-        F.col("UnitPrice").cast(MONEY).alias("UnitPrice"),
-        F.col("CustomerID").cast("bigint").alias("CustomerID"),
-        F.col("Country").cast("string").alias("Country"),
-    )
+def _whole(col: Column) -> Column:
+    """Text of a whole number (also written as 6.0) → bigint, else null."""
+    d = col.try_cast("decimal(38,6)")
+    return F.when(d == F.floor(d), d.try_cast("bigint"))
+
+
+def _price(col: Column) -> Column:
+    """Text → price, null if it has more than six places."""
+    exact = col.try_cast("decimal(38,18)")
+    price = exact.try_cast(MONEY)
+    return F.when(price.cast("decimal(38,18)") == exact, price)
+
+
+def parse_lines(raw: DataFrame) -> DataFrame:
+    """All-text invoice lines → the contract's columns plus ``reject``: the
+    columns whose text can't be read (null if none). A missing customer is
+    allowed, an empty quantity, date or price is not."""
+    missing = [c for c in CONTRACT if c not in raw.columns]
+    if missing:
+        raise ValueError(f"columns missing in the input: {missing}")
+    text = {c: F.when(F.trim(F.col(c)) != "", F.trim(F.col(c))) for c in CONTRACT}
+    parsed = {
+        "InvoiceNo": F.col("InvoiceNo"), "StockCode": F.col("StockCode"), "Country": F.col("Country"),
+        "Quantity": _whole(text["Quantity"]).try_cast("int"),
+        "InvoiceDate": parse_invoice_date(text["InvoiceDate"]),
+        "UnitPrice": _price(text["UnitPrice"]),
+        "CustomerID": _whole(text["CustomerID"]),
+    }
+    bad = [F.when(parsed[c].isNull(), F.lit(c)) for c in ("Quantity", "InvoiceDate", "UnitPrice")]
+    bad.append(F.when(parsed["CustomerID"].isNull() & text["CustomerID"].isNotNull(), F.lit("CustomerID")))
+    reject = F.concat_ws(",", *bad)
+    return raw.select(*[parsed[c].alias(c) for c in CONTRACT], F.when(reject != "", reject).alias("reject"),
+                      F.to_json(F.struct(*CONTRACT)).alias("line"))
 
 
-def read_transactions(spark: SparkSession, path: str, fmt: str = "csv",
-                      encoding: str = "ISO-8859-1") -> DataFrame:
-    """Read invoice lines with a fixed schema (no inference).
-
-    ``fmt='csv'`` reads the raw or cleaned retail text file; any other
-    format (``parquet``, ``orc``) must already carry the contract columns.
-    """
+def _conform(df: DataFrame) -> DataFrame:
+    """Typed lines → the contract's types, with ``reject`` as in ``parse_lines``.
+    A binary floating point price stands for the nearest price of six places."""
+    price = F.col("UnitPrice")
+    exact = price.try_cast(MONEY)
+    if isinstance(df.schema["UnitPrice"].dataType, (T.DoubleType, T.FloatType)):
+        kept = F.abs(exact.cast("double") - price) <= F.greatest(F.abs(price), F.lit(1.0)) * F.lit(1e-9)
+    else:
+        kept = exact.cast("decimal(38,18)") == price.try_cast("decimal(38,18)")
+    parsed = {
+        "InvoiceNo": F.col("InvoiceNo").cast("string"), "StockCode": F.col("StockCode").cast("string"),
+        "Country": F.col("Country").cast("string"), "Quantity": F.col("Quantity").try_cast("int"),
+        "InvoiceDate": F.col("InvoiceDate").try_cast("timestamp_ntz"), "UnitPrice": F.when(kept, exact),
+        "CustomerID": F.col("CustomerID").try_cast("bigint"),
+    }
+    same = {c: parsed[c].isNotNull() & (parsed[c].cast("double") == F.col(c).cast("double")) for c in ("Quantity", "CustomerID")}
+    bad = [F.when(~F.coalesce(same["Quantity"], F.lit(False)), F.lit("Quantity")),
+           *[F.when(parsed[c].isNull(), F.lit(c)) for c in ("InvoiceDate", "UnitPrice")],
+           F.when(F.col("CustomerID").isNotNull() & ~F.coalesce(same["CustomerID"], F.lit(False)), F.lit("CustomerID"))]
+    reject = F.concat_ws(",", *bad)
+    return df.select(*[parsed[c].alias(c) for c in CONTRACT], F.when(reject != "", reject).alias("reject"),
+                     F.to_json(F.struct(*CONTRACT)).alias("line"))
+
+
+def read_lines(spark: SparkSession, path: str, fmt: str = "csv",
+               encoding: str = "ISO-8859-1", multi_line: bool = False) -> DataFrame:
+    """Invoice lines with ``reject`` and ``line`` (the input as JSON).
+
+    ``fmt='csv'`` reads the raw or cleaned retail text file: columns are found
+    by their header, further ones are ignored, quotes inside quoted text are
+    doubled; ``multi_line`` allows line breaks inside it. Any other format
+    (``parquet``, ``orc``) carries the contract's columns with types."""
     if fmt == "csv":
-        raw = (spark.read.schema(CSV_SCHEMA).option("header", True)
-               .option("encoding", encoding).option("mode", "PERMISSIVE")
-               .csv(path))
-        return raw.select(
-            F.col("InvoiceNo"),
-            F.col("StockCode"),
-            F.col("Quantity").try_cast("int").alias("Quantity"),
-            parse_invoice_date(F.col("InvoiceDate")).alias("InvoiceDate"),
-            F.col("UnitPrice").try_cast(MONEY).alias("UnitPrice"),
-            F.col("CustomerID").try_cast("double").try_cast("bigint")
-            .alias("CustomerID"),
-            F.col("Country"),
-        )
+        raw = (spark.read.option("header", True).option("encoding", encoding).option("quote", '"')
+               .option("escape", '"').option("multiLine", multi_line).option("mode", "FAILFAST").csv(path))
+        return parse_lines(raw)
     return _conform(spark.read.format(fmt).load(path))
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_transactions(spark: SparkSession, path: str, fmt: str = "csv", encoding: str = "ISO-8859-1",
+                      multi_line: bool = False, on_reject: str = "fail") -> DataFrame:
+    """The contract's columns of ``read_lines``. ``on_reject='fail'`` raises at
+    the first line that can't be read; ``'skip'`` leaves such lines to
+    ``read_rejects``."""
+    lines = read_lines(spark, path, fmt, encoding, multi_line)
+    if on_reject == "skip":
+        return lines.where("reject is null").select(*CONTRACT)
+    stop = F.raise_error(F.concat(F.lit("unreadable "), F.col("reject"), F.lit(" in "), F.col("line")))
+    # the check sits in a column that every reader of a valid sale needs
+    return lines.withColumn("Quantity", F.when(F.col("reject").isNull(), F.col("Quantity")).otherwise(stop.cast("int"))).select(*CONTRACT)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan at least one partition per core.
+def read_rejects(spark: SparkSession, path: str, fmt: str = "csv", encoding: str = "ISO-8859-1",
+                 multi_line: bool = False) -> DataFrame:
+    """(reject, line) of the lines that can't be read."""
+    return read_lines(spark, path, fmt, encoding, multi_line).where("reject is not null").select("reject", "line")
 
-    A Parquet file is split by row group, so a small table written as one
-    row group is read by a single task and every operator pipelined on top
-    of it (filters, broadcast joins, partial aggregates) runs serially. When
-    the scan has fewer partitions than the session's default parallelism
-    the rows are dealt round-robin once; a large input (many files / row
-    groups) is left untouched, so this never adds a shuffle at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def transactions_from_orders(spark: SparkSession, sf_dir: str,
@@ -123,8 +154,8 @@ def transactions_from_orders(spark: SparkSession, sf_dir: str,
     comes from ``customer ⟕ nation`` and is only joined when asked for, so
     that jobs without a country scope do not pay for the two joins.
     """
-    li = spread(read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_returnflag"))
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
@@ -144,9 +175,7 @@ def transactions_from_orders(spark: SparkSession, sf_dir: str,
     if not with_country:
         return lines.select(*cols, F.lit(None).cast("string").alias("Country"))
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    # nation is a fixed 25-row dimension: broadcasting it is size-bounded
-    nation = F.broadcast(read_table(spark, sf_dir, "nation")
-                         .select("n_nationkey", "n_name"))
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cust_country = (customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
                     .select("c_custkey", "n_name"))
     return (lines.join(cust_country, lines.o_custkey == cust_country.c_custkey, "left")
@@ -160,9 +189,9 @@ def transactions_from_events(spark: SparkSession, sf_dir: str,
     Short history with real times of day, so elapsed-day versus
     calendar-day definitions give different answers here.
     """
-    ev = spread(read_table(spark, sf_dir, "events")
-                .select("event_id", "ts", "user_id", "event_type", "value", "props")
-                .filter(F.col("event_type").isin("purchase", "error")))
+    ev = (read_table(spark, sf_dir, "events")
+          .select("event_id", "ts", "user_id", "event_type", "value", "props")
+          .filter(F.col("event_type").isin("purchase", "error")))
     key = F.col("event_id").cast("string")
     return ev.select(
         F.when(F.col("event_type") == "error", F.concat(F.lit("C"), key))
