@@ -39,5 +39,11 @@ class Params:
     # optional country scope (None = every country)
     country: str | None = None
 
+    @property
+    def all_windows(self) -> tuple[int, ...]:
+        """The look-back windows that are computed: the model's, and the 30
+        days that risk flags and reports use."""
+        return tuple(sorted({*self.windows, 30}))
+
 
 DEFAULT = Params()

@@ -103,9 +103,9 @@ def feature_table(rfm_internal: DataFrame, stats: DataFrame, kind: str = "ts",
     customer. ``rfm_internal`` is ``rfm_table(..., keep_internal=True)``."""
     base = rfm_internal.select(*rfm_internal_columns())
     if kind == "ts":
-        feats = seq.features_ts(stats, params.windows)
+        feats = seq.features_ts(stats, params.all_windows)
         return derive_ts(base.join(feats, C, "left"), params)
-    feats = seq.features_ch(stats, params.windows)
+    feats = seq.features_ch(stats, params.all_windows)
     return derive_ch(base.join(feats, C, "left"))
 
 
@@ -114,18 +114,26 @@ def rfm_internal_columns() -> list[str]:
     return RFM_COLUMNS + ["Monetary_exact", "first_purchase", "last_purchase", "analysis_date"]
 
 
-def model_frame(features: DataFrame, kind: str = "ts") -> DataFrame:
+def model_frame(features: DataFrame, kind: str = "ts", params: Params = DEFAULT) -> DataFrame:
     """The model input: key, label, segment and the cleaned feature columns
     (as double)."""
-    cols = TS_MODEL_FEATURES if kind == "ts" else CH_MODEL_FEATURES
-    present = [c for c in cols if c in features.columns]
+    present = [c for c in feature_names(kind, params) if c in features.columns]
     return features.select(
         C, "Segment", "is_churned", "Recency",
         *[nan_free(F.col(c)).alias(c) for c in present])
 
 
-def feature_names(kind: str = "ts") -> list[str]:
-    return list(TS_MODEL_FEATURES if kind == "ts" else CH_MODEL_FEATURES)
+def feature_names(kind: str = "ts", params: Params = DEFAULT) -> list[str]:
+    """The model's features; the look-back ratios follow ``params.windows``."""
+    names, seen = [], set()
+    for f in TS_MODEL_FEATURES if kind == "ts" else CH_MODEL_FEATURES:
+        stem = next((r for r in ("recent_activity_ratio_", "recent_monetary_ratio_") if f.startswith(r)), None)
+        if stem is None:
+            names.append(f)
+        elif stem not in seen:
+            seen.add(stem)
+            names += [f"{stem}{d}d" for d in params.windows]
+    return names
 
 
 __all__ = ["derive_ts", "derive_ch", "feature_table",

@@ -21,6 +21,15 @@ def split_key(seed: int = DEFAULT.seed):
     return F.md5(F.concat(F.lit(f"{seed}-"), F.col(C).cast("string")))
 
 
+def split_sizes(fractions: tuple[float, float, float]) -> dict[str, float]:
+    """``stratified_split`` arguments of (train, validation, test) shares."""
+    train, val, test = fractions
+    if min(fractions) <= 0 or abs(train + val + test - 1.0) > 1e-9:
+        raise ValueError("the three shares must be positive and add up to 1")
+    held = round(val + test, 12)
+    return {"test_size": held, "test_share_of_rest": round(test / held, 12)}
+
+
 def stratified_split(df: DataFrame, label: str = "is_churned", test_size: float = 0.3,
                      test_share_of_rest: float = 0.5, seed: int = DEFAULT.seed) -> DataFrame:
     """M1: adds ``split`` ∈ {train, val, test}. Per class of size n:
@@ -69,12 +78,13 @@ def standardize(df: DataFrame, stats: DataFrame, cols: list[str]) -> DataFrame:
     """Apply (x - mean) / std (std 0 → scale 1, as the original scaler)."""
     wide = stats.groupBy().pivot("feature", cols).agg(F.first("mean").alias("m"),
                                                        F.first("std").alias("s"))
-    out = df.crossJoin(F.broadcast(wide))
-    for c in cols:
+    out = df.crossJoin(F.broadcast(wide))  # one row
+
+    def z(c: str):
         s = F.col(f"{c}_s")
-        out = out.withColumn(c, (F.col(c).cast("double") - F.col(f"{c}_m"))
-                             / F.when((s == 0) | s.isNull(), F.lit(1.0)).otherwise(s))
-    return out.drop(*[f"{c}_m" for c in cols], *[f"{c}_s" for c in cols])
+        return ((F.col(c).cast("double") - F.col(f"{c}_m"))
+                / F.when((s == 0) | s.isNull(), F.lit(1.0)).otherwise(s)).alias(c)
+    return out.select(*[z(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def class_weights(train: DataFrame, label: str = "is_churned") -> DataFrame:
@@ -103,6 +113,10 @@ def with_weights(train: DataFrame, label: str = "is_churned", mode: str = "balan
         "_l", col, "n_class")
 
 
+#: Columns that tell where a synthetic row comes from (null for customers).
+PARENTS = [("parent", "bigint"), ("neighbour", "bigint"), ("copy", "int"), ("gap", "double")]
+
+
 def smote_oversample(train: DataFrame, features: list[str], label: str = "is_churned",
                      ratio: float = 0.5, k: int = 5, seed: int = DEFAULT.seed,
                      projections: int = 3) -> DataFrame:
@@ -123,14 +137,13 @@ def smote_oversample(train: DataFrame, features: list[str], label: str = "is_chu
 
     counts = train.groupBy(label).count().collect()  # one row per class
     n = {int(r[label]): int(r["count"]) for r in counts}
+    orig = train.select(C, F.col(label).cast("int").alias(label), *features, F.lit(False).alias("synthetic"),
+                        *[F.lit(None).cast(t).alias(c) for c, t in PARENTS])
     if len(n) < 2:
-        return train.select(C, F.col(label).cast("int").alias(label), *features).withColumn(
-            "synthetic", F.lit(False))
+        return orig
     minority = min(n, key=lambda c: (n[c], c))
     majority = max(n, key=lambda c: (n[c], -c))
     need = int(ratio * n[majority]) - n[minority]
-    orig = train.select(C, F.col(label).cast("int").alias(label), *features).withColumn(
-        "synthetic", F.lit(False))
     if need <= 0 or n[minority] < 2:
         return orig
     mino = (train.filter(F.col(label) == minority)
@@ -167,10 +180,12 @@ def smote_oversample(train: DataFrame, features: list[str], label: str = "is_chu
     chosen = global_rank(picks, [F.col("_o"), F.col("a"), F.col("rep")], "_rk").filter(
         F.col("_rk") <= need)
     syn = (chosen.join(nn.select("a", "j", "b", "va", "vb"), ["a", "j"])
-           .select("a", "rep", F.zip_with("va", "vb", lambda x, y: x + (y - x) * F.col("gap"))
+           .select("a", "b", "rep", "gap", F.zip_with("va", "vb", lambda x, y: x + (y - x) * F.col("gap"))
                    .alias("vs")))
+    # a synthetic row is no customer: it has no key, but names its parents
     syn_rows = syn.select(
-        (-(F.col("a") * 1000 + F.col("rep"))).alias(C), F.lit(minority).cast("int").alias(label),
-        *[F.col("vs")[i].alias(f) for i, f in enumerate(features)],
-        F.lit(True).alias("synthetic"))
+        F.lit(None).cast(train.schema[C].dataType).alias(C), F.lit(minority).cast("int").alias(label),
+        *[F.col("vs")[i].alias(f) for i, f in enumerate(features)], F.lit(True).alias("synthetic"),
+        F.col("a").cast("bigint").alias("parent"), F.col("b").cast("bigint").alias("neighbour"),
+        F.col("rep").cast("int").alias("copy"), F.col("gap").alias("gap"))
     return orig.unionByName(syn_rows)

@@ -10,12 +10,13 @@ the distributed evaluation of ``operators.metrics``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from contextvars import copy_context
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from churnscope.config import DEFAULT
 from churnscope.operators import metrics as mt
 from churnscope.operators import ml_prep as mp
-from churnscope.operators.ranking import reliable_checkpoint
+from churnscope.operators.ranking import materialize
 
 C = "CustomerID"
 LABEL = "is_churned"
@@ -58,8 +59,8 @@ CH_SPECS = [
     ModelSpec("RandomForest", "rf", {"numTrees": 200, "maxDepth": 10,
                                      "minInstancesPerNode": 10}, "balanced"),
     ModelSpec("GradientBoosting", "gbt", {"maxIter": 100, "stepSize": 0.1, "maxDepth": 5}),
-    ModelSpec("XGBoost", "gbt", {"maxIter": 200, "stepSize": 0.1, "maxDepth": 6}, "pos"),
-    ModelSpec("LightGBM", "gbt", {"maxIter": 200, "stepSize": 0.1, "maxDepth": 5}, "balanced"),
+    ModelSpec("gbt_pos_weighted", "gbt", {"maxIter": 200, "stepSize": 0.1, "maxDepth": 6}, "pos"),
+    ModelSpec("gbt_balanced", "gbt", {"maxIter": 200, "stepSize": 0.1, "maxDepth": 5}, "balanced"),
 ]
 
 
@@ -78,18 +79,35 @@ def _estimator(spec: ModelSpec, n_weight: float | None, seed: int):
     return GBTClassifier(seed=seed, **common, **p)
 
 
-def _prepare(train: DataFrame, spec: ModelSpec, features: list[str]) -> DataFrame:
-    out = train
-    if spec.weight:
-        out = mp.with_weights(out, LABEL, spec.weight, "weight")
-    return out
-
-
-def fit(spec: ModelSpec, train: DataFrame, features: list[str],
-        seed: int = DEFAULT.seed) -> PipelineModel:
-    """Fit one spec. ``train`` must already be scaled if ``spec.scaled``."""
-    # cut lineage once: iterative learners then read the materialised rows
-    data = reliable_checkpoint(_prepare(train, spec, features))
+def pos_weight(train: DataFrame) -> float:
+    """M5: negatives per positive of the training rows."""
+    r = train.agg(F.count_if(F.col(LABEL) == 0).alias("n"), F.count_if(F.col(LABEL) == 1).alias("p")).first()
+    return r["n"] / max(r["p"], 1)
+
+
+def scaler(train: DataFrame, features: list[str]) -> SQLTransformer:
+    """M3 as a pipeline stage: (x - mean) / population std of the training
+    rows (std 0 counts as 1), so that a saved model scores raw rows."""
+    cols = []
+    for r in mp.scaler_stats(train, features).collect():  # one row per feature
+        std = r["std"] or 1.0
+        cols.append(f"(CAST(`{r['feature']}` AS DOUBLE) - {r['mean'] or 0.0!r}D) / {std!r}D AS `{r['feature']}`")
+    names = ", ".join(f"`{f}`" for f in features)
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({names}), {', '.join(cols)} FROM __THIS__")
+
+
+def fit(spec: ModelSpec, train: DataFrame, features: list[str], seed: int = DEFAULT.seed,
+        weight_of_positives: float | None = None) -> PipelineModel:
+    """Fit one spec. ``train`` must already be scaled if ``spec.scaled``.
+    ``weight_of_positives`` replaces the rate of ``train`` in the ``pos``
+    weighting (folds keep the weight of the whole training set)."""
+    data = train.select(C, LABEL, *features)
+    if spec.weight == "pos" and weight_of_positives is not None:
+        data = data.withColumn("weight", F.when(F.col(LABEL) == 1, F.lit(float(weight_of_positives))).otherwise(F.lit(1.0)))
+    elif spec.weight:
+        data = mp.with_weights(data, LABEL, spec.weight, "weight")
+    # written once: iterative learners then read the materialised rows
+    data = materialize(data, "training")
     n_weight = None
     if spec.kind == "lr":
         n_weight = data.agg(F.sum("weight" if spec.weight else F.lit(1.0))).first()[0]
@@ -109,39 +127,46 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 @dataclass
 class Fitted:
     spec: ModelSpec
-    model: PipelineModel
-    scaler: DataFrame | None       # scaler statistics used by this model
+    model: PipelineModel           # scores raw rows: the scaler is its first stage
+    smoted: bool = False           # fitted on synthetic rows too
 
 
 class Trainer:
     """Holds the split feature frame, fits specs and evaluates them."""
 
-    def __init__(self, frame: DataFrame, features: list[str], seed: int = DEFAULT.seed):
+    def __init__(self, frame: DataFrame, features: list[str], seed: int = DEFAULT.seed,
+                 fractions: tuple[float, float, float] = DEFAULT.split_fractions):
         self.features = features
         self.seed = seed
-        split = mp.stratified_split(frame, LABEL, seed=seed)
-        self.frame = reliable_checkpoint(split)
+        # only the label and the key go through the rank of the split
+        split = mp.stratified_split(frame.select(C, LABEL), LABEL, seed=seed, **mp.split_sizes(fractions))
+        self.frame = materialize(frame.join(split.select(C, "split"), C), "frame")
         self.train = self.frame.filter(F.col("split") == "train")
         self.val = self.frame.filter(F.col("split") == "val")
         self.test = self.frame.filter(F.col("split") == "test")
-        self.scaler = mp.scaler_stats(self.train, features)
-
-    def scaled(self, df: DataFrame) -> DataFrame:
-        return mp.standardize(df, self.scaler, self.features)
+        self.scaler = scaler(self.train, features)
 
     def fit(self, spec: ModelSpec) -> Fitted:
-        train = self.scaled(self.train) if spec.scaled else self.train
+        train, smoted = self.scaler.transform(self.train) if spec.scaled else self.train, False
         if spec.smote:
             rate = self.train.agg(F.avg(LABEL)).first()[0]
             if rate < 0.4:
-                train = mp.smote_oversample(train, self.features, LABEL, 0.5, 5, self.seed)
-        return Fitted(spec, fit(spec, train, self.features, self.seed),
-                      self.scaler if spec.scaled else None)
+                train, smoted = mp.smote_oversample(train, self.features, LABEL, 0.5, 5, self.seed), True
+        model = fit(spec, train, self.features, self.seed)
+        if spec.scaled:
+            model = PipelineModel(stages=[self.scaler, *model.stages])
+        return Fitted(spec, model, smoted)
+
+    def voter(self, fitted: Fitted) -> Fitted:
+        """The member that votes: a model fitted on synthetic rows is fitted
+        anew on the training rows alone."""
+        return self.fit(replace(fitted.spec, smote=False)) if fitted.smoted else fitted
 
-    def score(self, fitted: Fitted, df: DataFrame) -> DataFrame:
-        x = self.scaled(df) if fitted.scaler is not None else df
-        p = predict(fitted.model, x).select(C, PROB, "predicted")
-        return df.join(p, C)
+    def score_all(self, fitted: Fitted) -> DataFrame:
+        """Key, label, split, probability and class of every customer,
+        scored and written once; every metric and output reads it."""
+        scored = predict(fitted.model, self.frame).select(C, LABEL, "split", PROB, "predicted")
+        return materialize(scored, "scores")
 
 
 def parallel(fn, items, threads: int = 4):
@@ -152,7 +177,8 @@ def parallel(fn, items, threads: int = 4):
     if threads <= 1 or len(items) <= 1:
         return [fn(x) for x in items]
     with ThreadPoolExecutor(max_workers=min(threads, len(items))) as pool:
-        return list(pool.map(fn, items))
+        # each job keeps the caller's context (the run's folder)
+        return [f.result() for f in [pool.submit(copy_context().run, fn, x) for x in items]]
 
 
 def evaluate(scored: DataFrame) -> dict:
@@ -163,9 +189,14 @@ def evaluate(scored: DataFrame) -> dict:
             "accuracy": m["accuracy"]}
 
 
+def part(scored: DataFrame, split: str) -> DataFrame:
+    return scored.filter(F.col("split") == split)
+
+
 def soft_vote(scored: list[DataFrame]) -> DataFrame:
     """Mean class-1 probability of the members, joined on the key."""
-    out = scored[0].select(C, LABEL, F.col(PROB).alias("p0"))
+    keep = [c for c in (C, LABEL, "split") if c in scored[0].columns]
+    out = scored[0].select(*keep, F.col(PROB).alias("p0"))
     for i, s in enumerate(scored[1:], 1):
         out = out.join(s.select(C, F.col(PROB).alias(f"p{i}")), C)
     mean = sum(F.col(f"p{i}") for i in range(len(scored))) / float(len(scored))
@@ -173,47 +204,49 @@ def soft_vote(scored: list[DataFrame]) -> DataFrame:
             .drop(*[f"p{i}" for i in range(len(scored))]))
 
 
-def importances(fitted: Fitted, features: list[str]) -> list[tuple[str, float]]:
-    """Tree importances, or |coefficient| for logistic regression."""
+def importances(fitted: Fitted, features: list[str]) -> list[tuple[str, float, float | None]]:
+    """(feature, importance, coefficient), largest importance first; the
+    importance of a logistic regression is |coefficient|, trees have none."""
     est = fitted.model.stages[-1]
     if hasattr(est, "featureImportances"):
-        vals = est.featureImportances.toArray().tolist()
+        rows = [(f, float(v), None) for f, v in zip(features, est.featureImportances.toArray().tolist())]
     else:
-        vals = [abs(x) for x in est.coefficients.toArray().tolist()]
-    return sorted(zip(features, vals), key=lambda t: (-t[1], features.index(t[0])))
+        rows = [(f, abs(float(v)), float(v)) for f, v in zip(features, est.coefficients.toArray().tolist())]
+    return sorted(rows, key=lambda t: (-t[1], features.index(t[0])))
 
 
-def cross_validate(frame: DataFrame, specs, features: list[str], folds: int = 5,
-                   seed: int = DEFAULT.seed, threads: int = 5) -> list[float]:
-    """Stratified k-fold AUC on all rows, for one spec or a soft-vote
-    ensemble of several (members refit on each fold, probabilities
-    averaged). Fold = rank inside the class (seeded MD5 order, distributed
-    rank) modulo k. Folds are fitted concurrently."""
+def folds_of(frame: DataFrame, folds: int, seed: int = DEFAULT.seed) -> DataFrame:
+    """(CustomerID, fold): rank inside the class (seeded MD5 order, distributed
+    rank over key and label only) modulo ``folds``."""
     from churnscope.operators.ranking import global_rank
-    specs = [specs] if isinstance(specs, ModelSpec) else list(specs)
-    keyed = frame.withColumn("_k", mp.split_key(seed + 1))
+    keyed = frame.select(C, LABEL).withColumn("_k", mp.split_key(seed + 1))
     ranked = global_rank(keyed, [F.col(LABEL), F.col("_k"), F.col(C)], "_rk")
     counts = frame.groupBy(LABEL).agg(F.count(F.lit(1)).alias("_nc"))
     before = Window.orderBy(LABEL).rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(LABEL, F.coalesce(F.sum("_nc").over(before), F.lit(0)).alias("_off"))
-    folded = reliable_checkpoint(
-        ranked.join(F.broadcast(offs), LABEL)
-        .withColumn("fold", F.pmod(F.col("_rk") - F.col("_off") - 1, F.lit(folds)).cast("int"))
-        .drop("_k", "_rk", "_off"))
+    return ranked.join(F.broadcast(offs), LABEL).select(
+        C, F.pmod(F.col("_rk") - F.col("_off") - 1, F.lit(folds)).cast("int").alias("fold"))
+
+
+def cross_validate(frame: DataFrame, specs, features: list[str], folds: int = 5,
+                   seed: int = DEFAULT.seed, threads: int = 5,
+                   weight_of_positives: float | None = None) -> list[float]:
+    """Stratified k-fold AUC on all rows, for one spec or a soft-vote
+    ensemble of several (members refit on each fold, probabilities
+    averaged). Folds are fitted concurrently; all of them read one table."""
+    specs = [specs] if isinstance(specs, ModelSpec) else list(specs)
+    folded = materialize(frame.join(folds_of(frame, folds, seed), C), "folds")
 
     def one(k):
         tr = folded.filter(F.col("fold") != k)
         te = folded.filter(F.col("fold") == k)
-        stats = mp.scaler_stats(tr, features)
+        stage = scaler(tr, features) if any(s.scaled for s in specs) else None
         scored = []
         for spec in specs:
-            if spec.scaled:
-                model = fit(spec, mp.standardize(tr, stats, features), features, seed)
-                p = predict(model, mp.standardize(te, stats, features))
-            else:
-                p = predict(fit(spec, tr, features, seed), te)
-            scored.append(te.select(C, LABEL).join(p.select(C, PROB), C))
-        voted = scored[0] if len(scored) == 1 else soft_vote(scored)
+            x, y = (stage.transform(tr), stage.transform(te)) if spec.scaled else (tr, te)
+            model = fit(spec, x, features, seed, weight_of_positives)
+            scored.append(predict(model, y).select(C, LABEL, PROB))
+        voted = materialize(scored[0] if len(scored) == 1 else soft_vote(scored), "fold-scores")
         return mt.auc(voted, LABEL, PROB).first()[0]
 
     return parallel(one, range(folds), threads)

@@ -17,6 +17,10 @@ rows and cannot shift a row into another partition.
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,34 +36,34 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-_WRITTEN: dict[str, list[str]] = {}
+_FOLDER: ContextVar[str | None] = ContextVar("folder", default=None)
+
+
+@contextmanager
+def intermediates(spark, remove: bool):
+    """A folder of its own for what one run writes with ``materialize`` (from
+    this thread, or threads given its context); with ``remove`` it is deleted at
+    the end. Tables of other runs are never touched."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/churnscope-run-{uuid.uuid4().hex}"
+    token = _FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _FOLDER.reset(token)
+        if remove:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     read it back: lineage is cut, and later scans still get column pruning
-    and filter pushdown (unlike an RDD checkpoint). The path is recorded so
-    that ``drop_written_tables`` can remove it when the job is done."""
-    import uuid
+    and filter pushdown (unlike an RDD checkpoint)."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/churnscope-tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.parquet(path)
-
-
-def drop_written_tables(spark) -> int:
-    """Delete the intermediate tables this application wrote with
-    ``materialize`` (only those; other files in the folder are untouched).
-    DataFrames reading them must not be used afterwards. Returns the count."""
-    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
-    return len(paths)
+    root = _FOLDER.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/churnscope-tables"
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _range(df: DataFrame, order_cols: list, num_partitions: int | None) -> DataFrame:

@@ -12,6 +12,7 @@ from churnscope.operators import clean as cl
 from churnscope.operators import features as ft
 from churnscope.operators import rfm as rf
 from churnscope.operators import sequences as sq
+from churnscope.operators.ranking import materialize
 from churnscope.session import tune
 from churnscope.sources import transactions_from_events, transactions_from_orders
 
@@ -38,8 +39,6 @@ def clean_lines(spark: SparkSession, sf_dir: str, source: str = "orders",
     Parquet table in the shared checkpoint folder (the original also hands
     a cleaned file to the later steps). Every later aggregate scans this
     table instead of repeating the joins of the source."""
-    from churnscope.operators.ranking import materialize
-
     def build():
         tx = transactions(spark, sf_dir, source, with_country=country is not None)
         return materialize(cl.valid_sales(tx, country), f"clean-{source}")
@@ -56,12 +55,11 @@ def _memo(spark: SparkSession, key: tuple, build):
 def rfm_internal(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataFrame:
     """The RFM table with helper columns (ranks, first/last purchase,
     analysis date). Built once per session and source."""
-    from churnscope.operators.ranking import reliable_checkpoint
     tune(spark)
     p = params_for(source)
     return _memo(spark, ("rfm", sf_dir, source),
-                 lambda: reliable_checkpoint(
-                     rf.rfm_table(clean_lines(spark, sf_dir, source), p, keep_internal=True)))
+                 lambda: materialize(
+                     rf.rfm_table(clean_lines(spark, sf_dir, source), p, keep_internal=True), "rfm"))
 
 
 def rfm_table(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataFrame:
@@ -71,25 +69,23 @@ def rfm_table(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataF
 def sequence_stats(spark: SparkSession, sf_dir: str, source: str = "orders") -> DataFrame:
     """Raw per-customer sequence statistics, materialised once per session
     (three feature families and both feature tables read them)."""
-    from churnscope.operators.ranking import reliable_checkpoint
     tune(spark)
 
     def build():
         clean = clean_lines(spark, sf_dir, source)
-        return reliable_checkpoint(sq.sequence_stats(clean, None, params_for(source).windows))
+        return materialize(sq.sequence_stats(clean, None, params_for(source).all_windows), "stats")
     return _memo(spark, ("stats", sf_dir, source), build)
 
 
 def feature_table(spark: SparkSession, sf_dir: str, kind: str = "ts",
                   source: str = "orders") -> DataFrame:
     """``rfm ⟕ sequence features`` + derived columns, materialised once per
-    session (reliable checkpoint): many reports and every model read it."""
-    from churnscope.operators.ranking import reliable_checkpoint
+    session: many reports and every model read it."""
     p = params_for(source)
 
     def build():
-        return reliable_checkpoint(ft.feature_table(
-            rfm_internal(spark, sf_dir, source), sequence_stats(spark, sf_dir, source), kind, p))
+        return materialize(ft.feature_table(
+            rfm_internal(spark, sf_dir, source), sequence_stats(spark, sf_dir, source), kind, p), f"features-{kind}")
     return _memo(spark, ("features", sf_dir, kind, source), build)
 
 

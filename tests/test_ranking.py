@@ -60,17 +60,12 @@ def test_multi_rank_matches_separate_ranks(spark):
     assert out == {i: (ra[i], rb[i], 700) for i in ra}
 
 
-def test_drop_written_tables_removes_only_own_tables(spark):
+def test_a_run_removes_its_own_tables_only(spark):
     import os
-    from churnscope.operators.ranking import _WRITTEN, drop_written_tables, materialize
-    app = spark.sparkContext.applicationId
-    keep = list(_WRITTEN.get(app, []))
-    _WRITTEN[app] = []
-    t = materialize(spark.range(10), "unit-test")
-    path = _WRITTEN[app][-1]
-    assert t.count() == 10
-    local = path.replace("file:", "")
-    assert os.path.exists(local)
-    assert drop_written_tables(spark) == 1
-    assert not os.path.exists(local)
-    _WRITTEN[app] = keep
+    from churnscope.operators.ranking import intermediates, materialize
+    outside = materialize(spark.range(5), "x")
+    with intermediates(spark, remove=True) as folder:
+        inside = materialize(spark.range(3), "y")
+        assert inside.count() == 3 and os.path.isdir(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert outside.count() == 5

@@ -60,10 +60,10 @@ def test_model_save_load(spark):
     model = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"),
                              LogisticRegression(labelCol="is_churned")]).fit(df)
     path = tempfile.mkdtemp(prefix="cs-model-")
-    save_model(model, path, ["x"], "LogisticRegression", 0.4, {"auc": 0.5}, spark)
+    save_model([("a", model), ("b", model)], path, ["x"], "Ensemble", 0.4, {"auc": 0.5}, spark)
     loaded, meta = load_model(spark, path)
-    assert meta.model_name == "LogisticRegression" and meta.features == ["x"]
-    assert loaded.transform(df).count() == 40
+    assert meta.model_name == "Ensemble" and meta.features == ["x"] and list(loaded) == ["a", "b"]
+    assert loaded["b"].transform(df).count() == 40
 
 
 def _csv(tmp_path, *lines):
