@@ -9,13 +9,14 @@ both sides (``round_even`` / ``round_sql``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnscope.functions.columns import round_even, to_double
+from churnscope.functions.columns import money, round_even, to_double
 from churnscope.functions.rules import ACTION_PLANS, SEGMENT_STRATEGY
 from churnscope.operators import campaign as cp
 from churnscope.operators import clean as cl
@@ -25,9 +26,12 @@ from churnscope.operators import reports as rp
 from churnscope.operators import rfm as rf
 from churnscope.operators import sequences as sq
 from churnscope.operators.features import TS_MODEL_FEATURES
+from churnscope.operators.ranking import materialize
 from churnscope.plans import modeling as mdl
 from churnscope.plans import oracle as O
 from churnscope.plans import steps as st
+from churnscope.session import ensure_checkpoint_dir
+from churnscope.sources import read_rejects, read_transactions
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -717,8 +721,12 @@ def q_campaign_roi_ch(spark, sf):
                                    value_scope="active"))
 
 
+#: The sweep written out (numpy.arange(0.40, 0.90, 0.05)), independent of the operator.
+SWEEP_GRID = [0.4, 0.45, 0.5, 0.55, 0.6, 0.6499999999999999, 0.7, 0.75, 0.7999999999999999, 0.8499999999999999]
+
+
 @register("roi_curve", _econ_sql(
-    "ch_data", cp.sweep_thresholds(), "avg(CASE WHEN is_churned = 0 THEN avg_order_value END)",
+    "ch_data", SWEEP_GRID, "avg(CASE WHEN is_churned = 0 THEN avg_order_value END)",
     f"SELECT threshold, targets, {R('roi')} AS roi FROM e"))
 def q_roi_curve(spark, sf):
     # the threshold grid stays exact (e.g. 0.6499999999999999); only ROI is rounded
@@ -726,7 +734,7 @@ def q_roi_curve(spark, sf):
 
 
 @register("roi_best_threshold", _econ_sql(
-    "ch_data", cp.sweep_thresholds(), "avg(CASE WHEN is_churned = 0 THEN avg_order_value END)",
+    "ch_data", SWEEP_GRID, "avg(CASE WHEN is_churned = 0 THEN avg_order_value END)",
     "SELECT coalesce(b.threshold, 0.5) AS threshold, " + R("b.roi") + " AS roi, b.targets "
     "FROM (SELECT 1 AS one) d LEFT JOIN (SELECT threshold, roi, targets FROM e WHERE targets > 10 "
     "ORDER BY floor(roi * 1000000.0 + 0.5) DESC, threshold LIMIT 1) b ON true"))
@@ -961,3 +969,134 @@ def q_tier_summary_ts(spark, sf):
     "count(*) AS CustomerID FROM ts_data GROUP BY Segment", level="data"))
 def q_segment_risk_ts(spark, sf):
     return rp.segment_risk_ts(_scored(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# readers (S1, S2, S4): the lines as a CSV file in the shared folder, with
+# quoted text, sub-cent prices and one unreadable line, read back
+# ---------------------------------------------------------------------------
+
+def _csv_file(spark, sf) -> str:
+    tx = st.transactions(spark, sf, "orders", with_country=True)
+    text = tx.select(
+        "StockCode", F.concat(F.lit('CHARLIE+LOLA "EXTREMELY, BUSY" '), F.col("StockCode")).alias("Description"), "InvoiceNo",
+        F.col("Quantity").cast("string").alias("Quantity"), F.date_format("InvoiceDate", "M/d/yyyy H:mm").alias("InvoiceDate"),
+        (F.col("UnitPrice") + F.lit(0.001).cast("decimal(4,3)")).cast("decimal(20,6)").cast("string").alias("UnitPrice"),
+        F.concat(F.col("CustomerID").cast("string"), F.lit(".0")).alias("CustomerID"), "Country")
+    bad = spark.createDataFrame([("X", 'a "quote"', "1", "six", "1/1/2011 0:00", "1", "1.0", "Y")], text.columns)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-lines-{uuid.uuid4().hex}"
+    text.unionByName(bad).write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    return path
+
+
+@register("csv_lines", sql("SELECT InvoiceNo, StockCode, Quantity, InvoiceDate, CAST(UnitPrice + 0.001 AS DOUBLE) AS UnitPrice, "
+                           "CustomerID, Country FROM tx", level="clean"))
+def q_csv_lines(spark, sf):
+    return _tx_double(read_transactions(spark, _csv_file(spark, sf), on_reject="skip"))
+
+
+@register("csv_valid_amounts", sql(
+    "SELECT CustomerID, CAST(sum(CAST(Quantity AS DECIMAL(10,0)) * CAST(UnitPrice + 0.001 AS DECIMAL(20,6))) AS DOUBLE) AS Monetary "
+    "FROM clean GROUP BY CustomerID", level="clean"))
+def q_csv_valid_amounts(spark, sf):
+    valid = cl.valid_sales(read_transactions(spark, _csv_file(spark, sf), on_reject="skip"))
+    return valid.groupBy("CustomerID").agg(money(F.sum("amount_units")).alias("Monetary"))
+
+
+@register("csv_rejects", "SELECT 'Quantity' AS reject, CAST(1 AS BIGINT) AS n_lines")
+def q_csv_rejects(spark, sf):
+    return read_rejects(spark, _csv_file(spark, sf)).groupBy("reject").agg(F.count("*").alias("n_lines"))
+
+
+# ---------------------------------------------------------------------------
+# the model half (E1-E11, S10, S15): what is exact about it, computed from the
+# models' outputs; the probabilities themselves have no SQL
+# ---------------------------------------------------------------------------
+
+_CHECKED = ("SELECT CustomerID, Segment, Recency, Frequency, is_churned, true AS in_range, true AS tier_matches FROM {0}_data")
+
+
+def _checked(predictions: DataFrame) -> DataFrame:
+    return predictions.select(
+        "CustomerID", "Segment", "Recency", "Frequency", F.col("is_churned").cast("int").alias("is_churned"),
+        F.col("churn_probability").between(0.0, 1.0).alias("in_range"),
+        F.col("risk_level").eqNullSafe(F.expr(TIER_SQL)).alias("tier_matches"))
+
+
+@register("churn_predictions_ts_checked", sql(_CHECKED.format("ts"), level="data"))
+def q_churn_predictions_ts_checked(spark, sf):
+    return _checked(mdl.ts_step(spark, sf).predictions)
+
+
+@register("churn_predictions_ch_checked", sql(_CHECKED.format("ch"), level="data"))
+def q_churn_predictions_ch_checked(spark, sf):
+    return _checked(mdl.ch_step(spark, sf).predictions)
+
+
+@register("model_splits_ts", _split_sql(
+    "SELECT m.model, split, count(*) AS customers, sum(is_churned) AS churned FROM splt, "
+    "(VALUES ('Logistic Regression'), ('Random Forest'), ('Gradient Boosting')) m(model) GROUP BY m.model, split"))
+def q_model_splits_ts(spark, sf):
+    """The customers behind each metric of each model."""
+    out = None
+    for name, scores in mdl.ts_step(spark, sf).scores.items():
+        part = scores.groupBy("split").agg(F.count("*").alias("customers"), F.sum("is_churned").cast("decimal(38,0)").alias("churned"))
+        part = part.select(F.lit(name).alias("model"), "split", "customers", "churned")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("auc_matches_evaluator_ts", "SELECT * FROM (VALUES ('Logistic Regression', true), ('Random Forest', true), "
+                                      "('Gradient Boosting', true)) v(model, same)")
+def q_auc_matches_evaluator_ts(spark, sf):
+    """Our AUC on the test split against Spark ML's evaluator."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    judge = BinaryClassificationEvaluator(rawPredictionCol="churn_probability", labelCol="label", numBins=0)
+    rows = []
+    for name, scores in mdl.ts_step(spark, sf).scores.items():
+        test = scores.where("split = 'test'").withColumn("label", F.col("is_churned").cast("double"))
+        rows.append((name, bool(abs(judge.evaluate(test) - mt.auc(test).first()[0]) < 1e-9)))
+    return spark.createDataFrame(rows, "model string, same boolean")
+
+
+@register("soft_vote_is_mean_ch", sql("SELECT CustomerID, true AS is_mean FROM ch_data", level="data"))
+def q_soft_vote_is_mean_ch(spark, sf):
+    """The ensemble's probability is the mean over its three voting members."""
+    scores = mdl.ch_step(spark, sf).scores
+    out = scores["Ensemble"].select("CustomerID", F.col("churn_probability").alias("vote"))
+    members = [n for n in scores if n.startswith("vote:")]
+    for i, n in enumerate(members):
+        out = out.join(scores[n].select("CustomerID", F.col("churn_probability").alias(f"p{i}")), "CustomerID")
+    mean = sum(F.col(f"p{i}") for i in range(len(members))) / F.lit(3.0)
+    return out.select("CustomerID", (F.abs(F.col("vote") - mean) < 1e-12).alias("is_mean"))
+
+
+@register("saved_model_rescored_ch", sql("SELECT CustomerID, true AS same FROM ch_data", level="data"))
+def q_saved_model_rescored_ch(spark, sf):
+    """The scoring model saved, loaded again and applied to all customers."""
+    res = mdl.ch_step(spark, sf)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/saved-model-{uuid.uuid4().hex}"
+    mdl.save_step(res, path)
+    again = mdl.score_saved(spark, path, res.frame).withColumnRenamed("churn_probability", "again")
+    return res.predictions.join(again, "CustomerID").select(
+        "CustomerID", (F.abs(F.col("churn_probability") - F.col("again")) < 1e-12).alias("same"))
+
+
+@register("smote_between_parents", "SELECT true AS on_segment, true AS of_minority, true AS has_parents")
+def q_smote_between_parents(spark, sf):
+    """M6: every synthetic row stands on the segment between its two parents,
+    both customers of the minority class; one row of what holds for all."""
+    from churnscope.operators.features import feature_names, model_frame
+    feats = feature_names("ch")
+    frame = mp.stratified_split(model_frame(st.feature_table(spark, sf, "ch", "events"), "ch")).where("split = 'train'")
+    train = materialize(mp.standardize(frame, mp.scaler_stats(frame, feats), feats), "smote-train")
+    rows = materialize(mp.smote_oversample(train, feats), "smote")
+    vec = F.array(*[F.col(f).cast("double") for f in feats])
+    a = train.select(F.col("CustomerID").alias("parent"), F.col("is_churned").alias("ya"), vec.alias("va"))
+    b = train.select(F.col("CustomerID").alias("neighbour"), F.col("is_churned").alias("yb"), vec.alias("vb"))
+    j = (rows.where("synthetic").select("parent", "neighbour", "gap", "is_churned", vec.alias("v"))
+         .join(a, "parent", "left").join(b, "neighbour", "left"))
+    near = F.forall(F.zip_with(F.col("v"), F.zip_with("va", "vb", lambda x, y: x + (y - x) * F.col("gap")), lambda x, y: F.abs(x - y) < 1e-9), lambda c: c)
+    return j.agg(F.coalesce(F.bool_and(near), F.lit(True)).alias("on_segment"),
+                 F.coalesce(F.bool_and((F.col("ya") == F.col("is_churned")) & (F.col("yb") == F.col("is_churned"))), F.lit(True)).alias("of_minority"),
+                 F.coalesce(F.bool_and(F.col("ya").isNotNull() & F.col("yb").isNotNull()), F.lit(True)).alias("has_parents"))
