@@ -8,8 +8,8 @@ built once (written to the checkpoint folder) by the first query that needs
 them and reused by the later ones, so each query's time is its incremental
 cost and ``value`` is the wall time of the whole pipeline. Every query is
 executed with the ``noop`` sink (whole plan, no rows moved to the driver).
-``BENCH_ML=1`` (default) includes the time-series modelling step (three
-Spark ML models, evaluation, scoring); ``BENCH_FRESH=1`` instead clears the
+``BENCH_ML=1`` (default) includes both modelling steps (three and five Spark
+ML models, evaluation, vote, cross-validation, scoring); ``BENCH_FRESH=1`` instead clears the
 shared tables before every query (each query from the raw Parquet).
 """
 
@@ -40,7 +40,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = list(HEADLINE)
     if os.environ.get("BENCH_ML", "1") == "1":
-        names += ["model_comparison_ts", "churn_predictions_ts"]
+        names += ["model_comparison_ts", "churn_predictions_ts",
+                  # the integrated step: five models, vote, cross-validation
+                  "model_comparison_ch", "churn_predictions_ch"]
     fresh = os.environ.get("BENCH_FRESH", "0") == "1"
     from churnscope.plans import steps
     from churnscope.plans.catalog import QUERIES
