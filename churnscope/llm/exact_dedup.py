@@ -93,9 +93,9 @@ def dedup(docs: DataFrame, files_per_batch: int = 4096,
 
     several = state.where("group_size > 1").select("digest", F.col("first.doc_id").alias("keep_id"))
     hits = written(keyed.join(small_side(several), "digest"), "hits")
-    held = hits.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
-        "digest", F.col("norm").alias("held")).dropDuplicates(["digest"])
-    # no aggregate on top of this join: adaptive execution may then split a digest with many rows
+    held = written(hits.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
+        "digest", F.col("norm").alias("held")).dropDuplicates(["digest"]), "held")
+    # no aggregate below or above this join: adaptive execution may then split a digest with many rows
     clash = written(hits.join(held, "digest").where("norm != held").select("digest"), "clashes").distinct()
 
     out = rows.join(state, "digest").select(
