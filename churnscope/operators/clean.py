@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnscope.functions.columns import elapsed_days, is_return, safe_div, to_double, units
-from churnscope.operators.ranking import exact_quantiles
+from churnscope.operators.ranking import exact_quantiles_of
 
 
 def drop_missing_customers(tx: DataFrame) -> DataFrame:
@@ -90,23 +90,17 @@ def profile(tx: DataFrame) -> DataFrame:
 
 def describe_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     """Q7: count, mean, sample std, min, quartiles (linear), max per column,
-    one row per column. Quartiles are exact and distributed
-    (``exact_quantiles``), not the approximate ``summary()``."""
-    parts = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        moments = df.agg(F.count(x).alias("count"),
-                         F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                         F.min(x).alias("min"), F.max(x).alias("max"))
-        qs = exact_quantiles(df.select(F.col(c).cast("double").alias(c)), c, [0.25, 0.5, 0.75])
-        parts.append(moments.crossJoin(qs).select(
-            F.lit(c).alias("column"), F.col("count").cast("bigint").alias("count"),
-            "mean", "std", "min", F.col("q_0").alias("p25"), F.col("q_1").alias("p50"),
-            F.col("q_2").alias("p75"), "max"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    one row per column: one pass for the moments, one for the quartiles of all
+    columns, which are exact and distributed (``exact_quantiles_of``)."""
+    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    one = x.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(cols) for n, f in (
+        ("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))])
+    rows = F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), F.lit(c).alias("column"), *[
+        F.col(f"{n}_{i}").alias(n) for n in ("count", "mean", "std", "min", "max")]) for i, c in enumerate(cols)])).alias("r")
+    quartiles = exact_quantiles_of(x, cols, [0.25, 0.5, 0.75])
+    return one.select(rows).select("r.*").join(quartiles, "_m", "left").select(
+        "column", F.col("count").cast("bigint").alias("count"), "mean", "std", "min",
+        F.col("q_0").alias("p25"), F.col("q_1").alias("p50"), F.col("q_2").alias("p75"), "max")
 
 
 def top_values(df: DataFrame, col: str, n: int = 10) -> DataFrame:

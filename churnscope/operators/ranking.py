@@ -182,37 +182,39 @@ def quantile_from_rank(ranked: DataFrame, rank_col: str, value_col: str,
 
 def exact_quantiles(df: DataFrame, value_col: str, qs: list[float],
                     num_partitions: int | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles of a column over many rows.
-
-    Rows are first reduced to distinct values with counts (map-side
-    combined), the running count is computed along the value order, and
-    only the values covering the wanted positions are kept. Nulls are
-    ignored. Returns one row with columns ``q_<i>`` in the order of ``qs``.
+    """Exact linear-interpolated quantiles of a column over many rows, as one
+    row with columns ``q_<i>`` in the order of ``qs``. Nulls are ignored."""
+    many = exact_quantiles_of(df, [value_col], qs, num_partitions)
+    # one row even where the column holds no value
+    return many.agg(*[F.max(f"q_{i}").alias(f"q_{i}") for i in range(len(qs))])
+
+
+def exact_quantiles_of(df: DataFrame, cols: list[str], qs: list[float],
+                       num_partitions: int | None = None) -> DataFrame:
+    """Exact quantiles of several columns of one type in one pass: (column
+    index ``_m``, ``q_<i>`` …), one row per column that holds a value.
+
+    The table becomes a long one (column, value), reduced to distinct values
+    with counts (map-side combined); one running count along (column, value)
+    serves all columns, and only the values covering the wanted positions are
+    kept. The totals joined back have one row per column.
     """
-    vals = (df.select(F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
-            .groupBy("_v").agg(F.count(F.lit(1)).alias("_c")))
-    cum = running_total(vals, ["_v"], "_c", "_cum", num_partitions)
-    n = cum.agg(F.sum("_c").alias("_n"))
-    pos = []
+    entries = F.array(*[F.struct(F.lit(i).alias("_m"), F.col(c).alias("_v")) for i, c in enumerate(cols)])
+    vals = (df.select(F.explode(entries).alias("_e")).select("_e._m", "_e._v").filter(F.col("_v").isNotNull())
+            .groupBy("_m", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    cum = running_total(vals, ["_m", "_v"], "_c", "_cum", num_partitions)
+    sizes = cum.groupBy("_m").agg(F.sum("_c").alias("_n"), F.max("_cum").alias("_end"))
+    x = cum.join(F.broadcast(sizes), "_m").withColumn("_cum", F.col("_cum") - F.col("_end") + F.col("_n"))
+    wanted, aggs, out = None, [], []
     for i, q in enumerate(qs):
         h = F.lit(q) * (F.col("_n") - 1).cast("double")
-        pos.append((i, h))
-    with_n = cum.crossJoin(F.broadcast(n))
-    out_cols = []
-    aggs = []
-    for i, h in pos:
         lo = F.floor(h)                      # 0-based position
         hi = F.least(lo + 1, F.col("_n") - 1)
-        covers = lambda p: (F.col("_cum") - F.col("_c") <= p) & (p < F.col("_cum"))
-        aggs += [F.max(F.when(covers(lo), F.col("_v").cast("double"))).alias(f"_a{i}"),
-                 F.max(F.when(covers(hi), F.col("_v").cast("double"))).alias(f"_b{i}"),
-                 F.max(h - F.floor(h)).alias(f"_t{i}")]
-        out_cols.append(lerp(F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"_t{i}")).alias(f"q_{i}"))
-    # only rows that cover a wanted position survive the filter
-    wanted = None
-    for i, h in pos:
-        lo = F.floor(h)
-        hi = F.least(lo + 1, F.col("_n") - 1)
-        c = ((F.col("_cum") - F.col("_c") <= hi) & (lo < F.col("_cum")))
-        wanted = c if wanted is None else (wanted | c)
-    return with_n.filter(wanted).agg(*aggs).select(*out_cols)
+        first = F.col("_cum") - F.col("_c")
+        aggs += [F.max(F.when((first <= lo) & (lo < F.col("_cum")), F.col("_v").cast("double"))).alias(f"_a{i}"),
+                 F.max(F.when((first <= hi) & (hi < F.col("_cum")), F.col("_v").cast("double"))).alias(f"_b{i}"),
+                 F.max(h - lo).alias(f"_t{i}")]
+        out.append(lerp(F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"_t{i}")).alias(f"q_{i}"))
+        near = (first <= hi) & (lo < F.col("_cum"))
+        wanted = near if wanted is None else (wanted | near)
+    return x.filter(wanted).groupBy("_m").agg(*aggs).select("_m", *out)
