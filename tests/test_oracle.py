@@ -7,7 +7,7 @@ import pytest
 from churnscope.plans.catalog import ORACLE, QUERIES
 from tests.conftest import SF_SMALL
 
-NAMES = ["profile", "valid_sales", "rfm_table", "rfm_table_events", "segment_summary",
+NAMES = ["profile", "valid_sales", "csv_lines", "csv_rejects", "describe_valid", "rfm_table", "rfm_table_events", "segment_summary",
          "high_risk_customers", "half_trends_events", "ts_features", "ch_features_events",
          "ts_feature_table", "tier_summary", "score_auc", "best_f1_threshold",
          "roi_best_threshold", "stratified_split"]
