@@ -5,7 +5,8 @@ id); every row is indexed, that is, sent down to its leaf. A query visits
 leaves best bin first: a priority queue holds the tree's open branches by an
 upper estimate of the inner product (query and centre, plus the query's norm
 times the branch's radius), and its best branch is opened next until
-the wanted number of leaves is reached. That number is calibrated: for
+the wanted number of leaves is reached and they hold more than ``k`` rows. That
+number is calibrated: for
 CALIBRATION queries the exact neighbours are found by brute force over all
 rows, in blocks, and the visits are widened until the share of them that lie
 in visited leaves reaches TARGET.
@@ -75,13 +76,15 @@ class Tree:
             open_nodes += [(c, rows[near == i]) for i, c in enumerate(self.children[node]) if (near == i).any()]
         return out
 
-    def best_bins(self, q: np.ndarray, visits: int) -> list[int]:
-        """The first ``visits`` leaves, best bin first."""
-        queue, out, weight = [(0.0, 0)], [], RADIUS_WEIGHT * float(np.sqrt(q @ q))
-        while queue and len(out) < visits:
+    def best_bins(self, q: np.ndarray, visits: int, counts: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The first ``visits`` leaves, best bin first, and more until they hold
+        ``least`` rows by ``counts``, the rows of each leaf."""
+        queue, out, weight, held = [(0.0, 0)], [], RADIUS_WEIGHT * float(np.sqrt(q @ q)), 0
+        while queue and (len(out) < visits or held < least):
             _, node = heapq.heappop(queue)
             if not self.children[node]:
                 out.append(self.leaf[node])
+                held += 0 if counts is None else int(counts[out[-1]])
                 continue
             bound = self.block[node] @ q + weight * self.reach[node]
             for b, c in zip(bound.tolist(), self.children[node]):
@@ -212,7 +215,7 @@ def search(vectors: DataFrame, k: int = K, every: int = 20, sample: int = SAMPLE
         for b in batches:
             out = []
             for i, v in zip(b["vec_id"], b["v"]):
-                leaves = np.array(tree.best_bins(np.asarray(v, np.float64), visits))
+                leaves = np.array(tree.best_bins(np.asarray(v, np.float64), visits, counts, k + 1))
                 out += [(i, v, int(g), leaves[group[leaves] == g]) for g in np.unique(group[leaves])]
             yield pd.DataFrame(out, columns=["query_id", "q", "part", "leaves"])
 

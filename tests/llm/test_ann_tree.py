@@ -41,6 +41,19 @@ def test_calibrated_recall(spark):
     assert np.mean(hits) / 20 >= 0.9
 
 
+@pytest.mark.parametrize("visits", [1, None])
+def test_clusters_and_outliers_give_every_rank(spark, visits):
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(120, 12)) * 10, 10, axis=0) + rng.normal(size=(1200, 12)) * 0.01
+    x[::100] *= 40  # outliers get leaves of their own
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    ranks = {}
+    for r in at.search(df, visits=visits).collect():
+        ranks.setdefault(r.query_id, []).append(r["rank"])
+    assert set(ranks) == set(range(0, 1200, 20))
+    assert all(sorted(v) == list(range(1, 21)) for v in ranks.values())
+
+
 def test_few_and_no_rows(spark):
     df, _ = vectors(spark)
     few = at.search(df.where("vec_id < 5")).collect()
