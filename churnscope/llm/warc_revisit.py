@@ -12,7 +12,8 @@ ones is the last response of its first URL: one row per partition, bounded by
 the number of partitions, chained on the driver and joined back by partition.
 
 Defined results: a response at the very time of a revisit is not earlier; of
-several responses at one time the one with the greatest record id counts; a
+several responses at one time the one with the greatest record id counts, a null
+id being the least; a response without id is one, refers_to is then null; a
 null or empty URL resolves to nothing (``no_url``); a revisit without validators
 is ``unvalidated`` and still names its response; null headers are empty.
 Repeated records are resolved each. An empty table gives no rows; extra columns
@@ -52,7 +53,7 @@ def canonical(url: Column) -> Column:
 def fill_schema() -> str:
     return ("pid int, carry boolean, whole boolean, pending boolean, url_key string, record_id string, at long, "
             "etag string, last_modified string, headers string, "
-            "ref_id string, ref_etag string, ref_modified string, ref_headers string")
+            "ref_found boolean, ref_id string, ref_etag string, ref_modified string, ref_headers string")
 
 
 def _fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -61,7 +62,7 @@ def _fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     response for it yet. A last row (carry) tells what the next partition may
     need: the last URL, its last response, and whether the partition holds only it."""
     first = key = None
-    last: tuple = (None,) * 4
+    last: tuple = (False, None, None, None, None)
     pid, changed = None, False
     for b in batches:
         if not len(b):
@@ -77,15 +78,16 @@ def _fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at = np.maximum.accumulate(np.where(response, np.arange(n), -1))
         here = (at >= 0) & (at >= start)
         old = ~here & (start < 0)  # filled by what came before the batch
-        refs = b[["record_id", "etag", "last_modified", "headers"]].to_numpy(dtype=object)
-        got = np.full((n, 4), None, dtype=object)
+        refs = b[["response", "record_id", "etag", "last_modified", "headers"]].to_numpy(dtype=object)
+        got = np.full((n, 5), None, dtype=object)
+        got[:, 0] = False
         got[here] = refs[at[here]]
         got[old] = np.array([last], dtype=object)
-        pending = old & (last[0] is None) & (not changed)
+        pending = old & (not last[0]) & (not changed)
         keep = ~response
         out = pd.DataFrame({c: b[c].to_numpy()[keep] for c in ("pid", "url_key", "record_id", "at", "etag", "last_modified", "headers")})
         out["carry"], out["whole"], out["pending"] = False, False, pending[keep]
-        for i, c in enumerate(("ref_id", "ref_etag", "ref_modified", "ref_headers")):
+        for i, c in enumerate(("ref_found", "ref_id", "ref_etag", "ref_modified", "ref_headers")):
             out[c] = got[keep, i]
         changed = changed or bool(fresh.any())
         key, last = keys[-1], tuple(got[-1]) if not response[-1] else tuple(refs[-1])
@@ -93,13 +95,13 @@ def _fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     if first is not None:
         row = {"pid": pid, "carry": True, "whole": not changed, "pending": False, "url_key": key, "record_id": first, "at": 0,
                "etag": None, "last_modified": None, "headers": None,
-               "ref_id": last[0], "ref_etag": last[1], "ref_modified": last[2], "ref_headers": last[3]}
+               "ref_found": last[0], "ref_id": last[1], "ref_etag": last[2], "ref_modified": last[3], "ref_headers": last[4]}
         yield pd.DataFrame([row])
 
 
 def as_of(records: DataFrame) -> DataFrame:
     """Revisits (url_key, record_id, at, etag, last_modified, headers as JSON) with
-    ref_id, ref_etag, ref_modified, ref_headers of the latest earlier response.
+    ref_found, ref_id, ref_etag, ref_modified, ref_headers of the latest earlier response.
     ``records`` also has ``response``; no url_key is null."""
     spark = records.sparkSession
     # at one time a revisit stands before a response, which is then not earlier
@@ -107,22 +109,23 @@ def as_of(records: DataFrame) -> DataFrame:
     dealt = records.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("pid", F.spark_partition_id())
     filled = written(dealt.mapInPandas(_fill, fill_schema()), "revisits-filled")
     prior, before = [], None
-    for r in sorted(filled.where("carry").select("pid", "url_key", "whole", F.col("record_id").alias("first"), "ref_id",
-                                                 "ref_etag", "ref_modified", "ref_headers").collect(), key=lambda r: r.pid):
-        own = (r.url_key, r.ref_id, r.ref_etag, r.ref_modified, r.ref_headers)
-        known = before is not None and before[0] == r.first and before[1] is not None
+    for r in sorted(filled.where("carry").select("pid", "url_key", "whole", F.col("record_id").alias("first"), "ref_found",
+                                                 "ref_id", "ref_etag", "ref_modified", "ref_headers").collect(), key=lambda r: r.pid):
+        own = (r.url_key, r.ref_found, r.ref_id, r.ref_etag, r.ref_modified, r.ref_headers)
+        known = before is not None and before[0] == r.first and before[1]
         if known:
             prior.append((r.pid, *before[1:]))
-        if r.ref_id is None and r.whole and known:
+        if not r.ref_found and r.whole and known:
             own = before
         before = own
-    held = spark.createDataFrame(prior, "pid int, p_id string, p_etag string, p_modified string, p_headers string")
+    held = spark.createDataFrame(prior, "pid int, p_found boolean, p_id string, p_etag string, p_modified string, p_headers string")
     rows = filled.where("not carry").join(F.broadcast(held), "pid", "left")
 
     def either(ref: str, p: str) -> Column:
         return F.when(F.col("pending"), F.col(p)).otherwise(F.col(ref)).alias(ref)
 
-    return rows.select("url_key", "record_id", "at", "etag", "last_modified", "headers", either("ref_id", "p_id"),
+    return rows.select("url_key", "record_id", "at", "etag", "last_modified", "headers",
+                       F.coalesce(either("ref_found", "p_found"), F.lit(False)).alias("ref_found"), either("ref_id", "p_id"),
                        either("ref_etag", "p_etag"), either("ref_modified", "p_modified"), either("ref_headers", "p_headers"))
 
 
@@ -141,10 +144,10 @@ def resolve(captures: DataFrame) -> DataFrame:
                            F.to_json(F.coalesce("headers", F.create_map().cast("map<string,string>"))).alias("headers"))
     joined = as_of(rows.where("url_key is not null"))
     lost = rows.where("url_key is null and not response").select(
-        "url_key", "record_id", "at", "etag", "last_modified", "headers", *(F.lit(None).cast("string").alias(c) for c in (
+        "url_key", "record_id", "at", "etag", "last_modified", "headers", F.lit(False).alias("ref_found"), *(F.lit(None).cast("string").alias(c) for c in (
             "ref_id", "ref_etag", "ref_modified", "ref_headers")))
     both = joined.unionByName(lost)
-    status = (F.when(F.col("url_key").isNull(), "no_url").when(F.col("ref_id").isNull(), "no_earlier")
+    status = (F.when(F.col("url_key").isNull(), "no_url").when(~F.col("ref_found"), "no_earlier")
               .when(F.col("etag").isNotNull(), F.when(strong(F.col("etag")) == strong(F.coalesce("ref_etag", F.lit(""))), "resolved")
                     .otherwise("validator_mismatch"))
               .when(F.col("last_modified").isNotNull(), F.when(F.col("last_modified") == F.coalesce("ref_modified", F.lit("")), "resolved")

@@ -54,6 +54,21 @@ def test_as_of_over_many_partitions_with_a_hot_url(spark):
         assert sorted([(r.record_id, r.refers_to, r.status, dict(sorted(r.headers.items())) if r.headers else None) for r in got], key=repr) == brute(rows)
 
 
+def test_a_response_without_id_over_partition_borders(spark):
+    rows = [("r0", "u", 0, True, "A", None, {"server": "old"}), (None, "u", 5, True, "B", None, {"server": "new"})]
+    rows += [("n%02d" % i, "u", 10 + i, False, "B", None, {"date": str(i)}) for i in range(60)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for n in ("1", "4", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            got = wr.resolve(spark.createDataFrame(rows, SCHEMA)).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        assert len(got) == 60 and {(r.refers_to, r.status, r.headers["server"]) for r in got} == {(None, "resolved", "new")}
+
+
 def test_canonical_urls(spark):
     urls = ["http://WWW.Example.org:80/a/b/?utm_source=x&z=1&b=2#top", "https://example.org/a/b?b=2&z=1", "example.org/a/b?z=1&b=2&ref=q", "", None, " "]
     got = [r[0] for r in spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, u string").orderBy("i")
