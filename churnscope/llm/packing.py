@@ -15,7 +15,7 @@ them; shards pack alone, and bins are named by shard and number.
 
 Defined results: null and empty texts have length 0 and take no room but do
 take part in the conflicts; a null source is a source of its own; rows that
-repeat a doc_id are pieces of one cluster, as equal texts are. An empty table
+repeat a doc_id that isn't null conflict, as equal texts do. An empty table
 gives no rows. Extra columns are ignored.
 """
 
@@ -68,14 +68,21 @@ class Bins:
         return b, self.capacity - residual
 
 
-def pack_shard(pieces: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFrame:
+def pack_shard(pieces: pd.DataFrame, capacity: int, per_source: int, by_doc: bool = False) -> pd.DataFrame:
     """Bin number and offset of each piece (columns length, source, cluster,
-    doc_id, piece), longest first, ties by document and piece."""
+    doc_id, piece), longest first, ties by document and piece. ``by_doc``: a
+    doc_id that stands in several clusters is a cluster too."""
     pieces = pieces.sort_values(["length", "doc_id", "piece", "cluster"], ascending=[False, True, True, True], na_position="last")
     bins, source_bit, cluster_bit, got = Bins(capacity, per_source), {}, {}, []
-    for length, source, cluster in zip(pieces["length"], pieces["source"], pieces["cluster"]):
+    repeats = set()
+    if by_doc:
+        n = pieces.dropna(subset="doc_id").groupby("doc_id")["cluster"].nunique()
+        repeats = set(n.index[n > 1])
+    for length, source, cluster, doc in zip(pieces["length"], pieces["source"], pieces["cluster"], pieces["doc_id"]):
         s = source_bit.setdefault(source, 1 << len(source_bit))
         c = cluster_bit.setdefault(cluster, 1 << len(cluster_bit))
+        if doc in repeats:
+            c |= cluster_bit.setdefault(("doc", doc), 1 << len(cluster_bit))
         got.append(bins.add(int(length), s, c))
     return pieces.assign(bin=[b for b, _ in got], bin_offset=[o for _, o in got])
 
@@ -101,7 +108,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     spread = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(shards)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pack_shard(pdf, capacity, per_source)[["doc_id", "piece", "start", "length", "shard", "bin", "bin_offset"]]
+        return pack_shard(pdf, capacity, per_source, cluster is None)[["doc_id", "piece", "start", "length", "shard", "bin", "bin_offset"]]
 
     packed = spread.groupBy("shard").applyInPandas(
         run, "doc_id long, piece long, start long, length long, shard long, bin long, bin_offset long")

@@ -42,6 +42,13 @@ def test_edges_keep_every_word_and_all_rules(edge_docs, edge_rows):
         assert len({4 if r.doc_id == 5 else r.doc_id for r in rows}) == len(rows)  # copies and repeated rows are apart
 
 
+def test_rows_that_repeat_a_doc_id_are_apart(spark):
+    rows = [(7, "a b", "s"), (7, "c d e", "t"), (8, "f", "u"), (None, "g h", "v"), (None, "i", "w")]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len({r.bin for r in got if r.doc_id == 7}) == 2
+    assert len({(r.shard, r.bin) for r in got}) == 2  # null is no repeated id
+
+
 def test_a_given_cluster_column(edge_docs):
     got = packing.pack(edge_docs, cluster="tid").collect()  # one cluster for all: every piece has its own bin
     assert len({(r.shard, r.bin) for r in got}) == len(got)
