@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnscope.llm import (
-    ann_tree, exact_dedup, order_minhash, packing, quality_qda, secrets_crf, sentencepiece_viterbi, suffix_dedup, toxicity_fst,
-    warc_revisit)
+    ann_tree, centroids, chat_prefixes, exact_dedup, hard_negatives, order_minhash, packing, quality_qda, secrets_crf,
+    sentencepiece_viterbi, suffix_dedup, toxicity_fst, warc_revisit)
 from churnscope.llm.common import documents, labels
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,80 @@ SELECT record_id, url_key, refers_to, status,
          'cache-control=max-age=90|content-type=text/html|date=' || ts || '|etag=' || r_etag || '|server=' || server END AS headers
 FROM s
 """
+
+
+@_query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.integers(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label))
+
+
+ORACLE["op11_hard_negatives"] = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+             CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@_query
+def op12_chat_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    added = spark.sql("""SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text
+                         FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)""")
+    return chat_prefixes.read_back(chat_prefixes.expand(table.unionByName(added)))
+
+
+ORACLE["op12_chat_prefixes"] = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, regexp_replace(text, '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|INST\]|/INST\])', '\1\\\2\3', 'g') AS escaped FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(24 + length(role) + length(escaped)) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@_query
+def op13_ns_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = centroids.integers(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    state, history = centroids.cluster(rows)
+    return centroids.report(state, history[-1])
+
+
+def _rounds_sql(rounds: int) -> str:
+    """The same k-means without bounds: every distance of every round."""
+    near = """
+a{n} AS (SELECT row, vec_id, x, j, d FROM (
+    SELECT p.row, p.vec_id, p.x, c.j, CAST(list_sum(list_transform(range(1, 65), lambda i: (p.x[i] - c.m[i]) * (p.x[i] - c.m[i]))) AS BIGINT) AS d
+    FROM p CROSS JOIN c{n} c) QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, j) = 1)"""
+    move = """,
+m{n} AS (SELECT j, list(m ORDER BY i) AS m FROM (
+    SELECT j, i, CAST(floor(sum(x[i])::DOUBLE / count(*)) AS BIGINT) AS m FROM a{n}, range(1, 65) t(i) GROUP BY j, i) GROUP BY j),
+c{o} AS (SELECT c{n}.j, coalesce(m{n}.m, c{n}.m) AS m FROM c{n} LEFT JOIN m{n} USING (j)),"""
+    return "".join(near.format(n=n) + move.format(n=n, o=n + 1) for n in range(rounds)) + near.format(n=rounds)
+
+
+ORACLE["op13_ns_bounds"] = f"""
+WITH p AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+           FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), x) - 1 AS j, x AS m FROM p QUALIFY j < 16),
+{_rounds_sql(centroids.ROUNDS)}
+SELECT vec_id, CAST(a{centroids.ROUNDS}.j AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a{centroids.ROUNDS}.j) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{centroids.ROUNDS} JOIN c{centroids.ROUNDS} USING (j)
+"""
