@@ -65,7 +65,7 @@ def ts_models(data: DataFrame, params: Params = DEFAULT) -> StepResult:
     feats = feature_names("ts", params)
     tr = md.Trainer(model_frame(data, "ts", params), feats, params.seed, params.split_fractions)
     rows, best, best_auc, fitted_best, best_test = [], None, 0.0, None, {}
-    all_fitted = md.parallel(tr.fit, md.TS_SPECS)
+    all_fitted = tr.fit_all(md.TS_SPECS)
     scored = md.parallel(tr.score_all, all_fitted)
     # validation and test metrics of every model, evaluated concurrently
     jobs = [md.part(s, part) for s in scored for part in ("val", "test")]
@@ -98,7 +98,7 @@ def ch_models(data: DataFrame, params: Params = DEFAULT) -> StepResult:
     feats = feature_names("ch", params)
     tr = md.Trainer(model_frame(data, "ch", params), feats, params.seed, params.split_fractions)
     names = [s.name for s in md.CH_SPECS]
-    fitted = dict(zip(names, md.parallel(tr.fit, md.CH_SPECS, threads=5)))
+    fitted = dict(zip(names, tr.fit_all(md.CH_SPECS)))
     scores = dict(zip(names, md.parallel(lambda n: tr.score_all(fitted[n]), names, threads=5)))
     aucs = md.parallel(lambda n: md.evaluate(md.part(scores[n], "val"))["auc"], names, threads=5)
     val_auc = dict(zip(names, aucs))

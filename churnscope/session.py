@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,6 +55,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Python workers import this package; where they can't (it is neither
+    installed there nor on their path), it is sent along with ``addPyFile``."""
+    sc = spark.sparkContext
+    if getattr(sc, "_churnscope_shipped", False):
+        return
+    sc._churnscope_shipped = True
+    # built-in functions only: the probe itself must not need the package
+    if not sc.parallelize(["churnscope"], 1).map(importlib.util.find_spec).map(bool).first():
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        # Spark hands the archive to every executor
+        sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="churnscope-package-"), "churnscope"), "zip", root, "churnscope"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of the session.
 
@@ -60,6 +76,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``; it is read from the session and never
     replaced. Only a local session without one gets a private folder.
     """
+    ship_package(spark)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
