@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnscope.config import DEFAULT
+from churnscope.operators.neighbours import nearest
 from churnscope.operators.ranking import global_rank
 
 C = "CustomerID"
@@ -118,23 +119,15 @@ PARENTS = [("parent", "bigint"), ("neighbour", "bigint"), ("copy", "int"), ("gap
 
 
 def smote_oversample(train: DataFrame, features: list[str], label: str = "is_churned",
-                     ratio: float = 0.5, k: int = 5, seed: int = DEFAULT.seed,
-                     projections: int = 3) -> DataFrame:
+                     ratio: float = 0.5, k: int = 5, seed: int = DEFAULT.seed) -> DataFrame:
     """M6: synthetic minority rows until minority = ``ratio`` · majority.
 
-    Neighbour search without any all-pairs step: minority rows are ordered
-    along ``projections`` seeded random directions (distributed rank), each
-    row takes the rows within ``k`` positions on either side in every
-    ordering as candidates (at most 2·k·projections per row, an equi-join
-    on rank + offset), and keeps the ``k`` nearest by exact Euclidean
-    distance. Each synthetic row moves a minority row towards one of its
-    neighbours by a hash-seeded gap in [0, 1). Exactly the missing number
-    of rows is produced (distributed rank, no global limit). If the
-    minority already reaches ``ratio`` nothing is added. Input features
-    should be scaled.
+    Each synthetic row moves a minority row towards one of its ``k`` nearest
+    minority rows (exact, ``operators.neighbours``) by a hash-seeded gap in
+    [0, 1). Exactly the missing number of rows is produced (distributed rank, no
+    global limit). If the minority already reaches ``ratio`` nothing is added.
+    Input features should be scaled.
     """
-    import numpy as np
-
     counts = train.groupBy(label).count().collect()  # one row per class
     n = {int(r[label]): int(r["count"]) for r in counts}
     orig = train.select(C, F.col(label).cast("int").alias(label), *features, F.lit(False).alias("synthetic"),
@@ -148,27 +141,10 @@ def smote_oversample(train: DataFrame, features: list[str], label: str = "is_chu
         return orig
     mino = (train.filter(F.col(label) == minority)
             .select(C, F.array(*[F.col(f).cast("double") for f in features]).alias("v")))
-    rng = np.random.default_rng(seed)
-    cand = None
-    for j in range(projections):
-        w = [float(x) for x in rng.normal(size=len(features))]
-        proj = F.aggregate(F.zip_with("v", F.array(*[F.lit(x) for x in w]), lambda a, b: a * b),
-                           F.lit(0.0), lambda acc, x: acc + x)
-        ranked = global_rank(mino.select(C, proj.alias("p")), [F.col("p"), F.col(C)], "r")
-        offs = F.explode(F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0])).alias("o")
-        probe = (ranked.select(F.col(C).alias("a"), "r", offs)
-                 .select("a", (F.col("r") + F.col("o")).alias("r")))
-        pairs = probe.join(ranked.select(F.col(C).alias("b"), "r"), "r").select("a", "b")
-        cand = pairs if cand is None else cand.unionByName(pairs)
-    cand = cand.distinct()
+    near = nearest(mino.withColumnRenamed(C, "a"), k)
     va = mino.select(F.col(C).alias("a"), F.col("v").alias("va"))
     vb = mino.select(F.col(C).alias("b"), F.col("v").alias("vb"))
-    dist = F.aggregate(F.zip_with("va", "vb", lambda x, y: (x - y) * (x - y)),
-                       F.lit(0.0), lambda acc, x: acc + x)
-    nn = (cand.join(va, "a").join(vb, "b").withColumn("d", dist)
-          # at most 2·k·projections candidates per row: a bounded window
-          .withColumn("j", F.row_number().over(Window.partitionBy("a").orderBy("d", "b")))
-          .filter(F.col("j") <= k))
+    nn = near.join(va, "a").join(vb, "b")
     deg = nn.groupBy("a").agg(F.max("j").alias("deg"))
     per_row = -(-need // n[minority])
     base = deg.select("a", "deg", F.explode(F.sequence(F.lit(1), F.lit(per_row))).alias("rep"))
