@@ -858,6 +858,28 @@ def q_smote_train(spark, sf):
     return mp.smote_oversample(mp.standardize(train, mp.scaler_stats(train, feats), feats), feats)
 
 
+#: Integer features, so that SQL has the same distances.
+_NEAR = ["Recency", "Frequency", "customer_lifetime_days"]
+
+
+@register("smote_neighbours", sql("""
+SELECT CustomerID, CAST(row_number() OVER w AS INTEGER) AS j, neighbour, CAST(d AS DOUBLE) AS squared_distance FROM (
+  SELECT a.CustomerID, b.CustomerID AS neighbour, (a.Recency - b.Recency) * (a.Recency - b.Recency)
+         + (a.Frequency - b.Frequency) * (a.Frequency - b.Frequency)
+         + (a.customer_lifetime_days - b.customer_lifetime_days) * (a.customer_lifetime_days - b.customer_lifetime_days) AS d
+  FROM rfm a JOIN rfm b ON a.is_churned = b.is_churned AND a.CustomerID <> b.CustomerID
+  WHERE a.is_churned = (SELECT is_churned FROM rfm GROUP BY is_churned ORDER BY count(*), is_churned LIMIT 1))
+WINDOW w AS (PARTITION BY CustomerID ORDER BY d, neighbour) QUALIFY j <= 5"""))
+def q_smote_neighbours(spark, sf):
+    """M6: the five nearest customers of the minority class of each of its customers."""
+    from churnscope.operators.neighbours import nearest
+    table = st.rfm_table(spark, sf)
+    least = table.groupBy("is_churned").count().orderBy("count", "is_churned").first()[0]
+    rows = table.where(F.col("is_churned") == least).select(
+        F.col("CustomerID").cast("long").alias("a"), F.array(*[F.col(c).cast("double") for c in _NEAR]).alias("v"))
+    return nearest(rows, 5).select(F.col("a").alias("CustomerID"), "j", F.col("b").alias("neighbour"), F.col("d").alias("squared_distance"))
+
+
 @register("high_risk_predictions_ts")
 def q_high_risk_predictions_ts(spark, sf):
     return mdl.high_risk_export(mdl.ts_step(spark, sf), "ts")

@@ -4,6 +4,8 @@ model save / load."""
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from churnscope.sources import (edge_transactions, load_model, read_rejects, read_transactions,
@@ -130,3 +132,16 @@ def test_runs_of_different_size_are_sized_apart(spark):
         assert size_shuffles(spark, transactions_from_events(spark, SF_SMALL)) == small
     finally:
         spark.conf.unset(key)
+
+
+def test_fail_mode_raises_whatever_columns_are_read(spark, tmp_path):
+    path = str(tmp_path / "bad-date.csv")
+    with open(path, "w") as f:
+        f.write("InvoiceNo,StockCode,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+                "1,a,2,12/1/2010 8:26,1.5,7,X\n2,b,3,someday,2.5,8,Y\n")
+    tx = read_transactions(spark, path)
+    for action in (lambda: tx.count(), lambda: tx.groupBy("Country").count().collect(), lambda: tx.agg(F.max("InvoiceDate")).collect(),
+                   lambda: tx.select("StockCode").collect()):
+        with pytest.raises(Exception, match="unreadable InvoiceDate"):
+            action()
+    assert read_transactions(spark, path, on_reject="skip").count() == 1
