@@ -1,23 +1,30 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become classes: insult (by a lexicon of word stems whose weights are
-learned), threat verb, intention, target (second person), negation, reporting
-word, quote sign, other. Four small transducers read a clause's classes:
+Tokens become classes: stem (of an insult, by a lexicon whose weights are
+learned), threat verb, intention, target (second person), opener (copula or
+intensifier), negation, reporting word, quote sign, colon, other. Contractions
+are two tokens ("aren't" holds a negation, "you're" a target and a copula).
+Five small transducers read a clause's classes:
 
 * threat: an intention before a threat verb turns the verb into a threat;
-* negation: an insult or threat within three words after a negation is negated;
-* reported: after a reporting word, or between quotes, it is reported;
-* target: beside a target within the clause it is directed at somebody.
-
-Their composition is one deterministic transducer, built once, that rewrites
-the clause's insults and threats into marked events; arcs carry factors, and a
-clause's weight is the sum over its events of the stem's weight times the
-factors on the way. Only clauses with a match are read, and isolated words
-count through their clause alone. A document's score is a logistic function of
-the weight of all its clauses, the heaviest clause and the number of different
-stems matched, fitted with the lexicon on a bounded sample (SAMPLE labelled
-rows, the first by a hash of the id) of rows that are not held out. Scoring
-reads whole texts.
+* insult: a stem shortly after an opener or target, or with a target later in
+  the clause, is an insult of full weight; a lone stem has a low arc weight;
+* negation: an insult or threat within five words after a negation is negated;
+* reported: after a reporting word (also across a colon), or between quotes;
+* target: an insult or threat before or after a target is directed at somebody.
+
+Their composition is one weighted transducer, built once, that rewrites the
+clause into marked events. It may guess that a target follows (such paths end
+well only if it does), so a clause's weight is that of its best path: the sum
+over its events of the stem's weight times the factors on the way. Clauses end
+at full stops, semicolons and line ends; only clauses with a stem or a threat
+verb are read. A document's score is a logistic function of the weight of all
+its clauses, of the heaviest clause, of the weight a word and of the number of
+different stems matched, fitted with the lexicon on a bounded sample (SAMPLE
+labelled rows, the first by a hash of the id) of rows that are not held out. A
+stem is evidence by the number of different words that begin with it in texts
+of either label, so few labelled texts teach a word family that they repeat.
+Scoring reads whole texts.
 
 Defined results: null text counts as empty and gets the score of a text without
 matches. Repeated labels of a document count once (the larger). Without both
@@ -42,31 +49,45 @@ from pyspark.sql import functions as F
 from churnscope.llm.common import hash_sample, held_out, modest_batches, small_side, text_or_empty, training_labels, written
 
 SAMPLE = 20_000
-LEAST_DOCS = 4
-LEAST_ODDS = 2.0
+LEAST_DOCS = 2
+LEAST_ODDS = 1.5
+#: Least evidence (G squared) of a stem: far above chance for some 100,000 candidates.
+LEAST_EVIDENCE = 24.0
 COVER = 3
 STEM_LENGTHS = range(4, 13)
 
-# Small closed word classes of the grammar.
-TARGETS = frozenset("you your yours u ur du dich dir dein euch ihr tu te toi vous tú ti usted ustedes".split())
-NEGATIONS = frozenset("not no never n't dont isnt arent aint nicht kein keine nie pas jamais nunca".split())
-REPORTING = frozenset("said says say wrote quoted reported called claims sagte schrieb dit écrit dijo escribió".split())
-INTENTIONS = frozenset("will gonna ll shall werde vais voy going".split())
-THREATS = frozenset("kill hurt destroy beat shoot stab burn töten schlagen tuer frapper matar golpear".split())
+# Closed word classes of the grammar.
+TARGETS = frozenset("you your yours yourself u ur ye du dich dir dein deine euch ihr tu te toi ton vous votre tú ti tus usted ustedes".split())
+OPENERS = frozenset("are r is was were am be being re s m what such so very total totally complete utter absolute bloody damn "
+                    "bist seid ist war so ein total es est êtes était quel quelle si très eres es son era qué muy tan".split())
+NEGATIONS = frozenset("not no never neither nor none without hardly n't dont doesnt didnt isnt arent aint wasnt werent cant cannot wont wouldnt "
+                      "nicht kein keine keinen nie niemals pas jamais aucun nunca jamás ningún".split())
+REPORTING = frozenset("said says say saying wrote writes quoted quotes reported reports called calls claims claimed shouted yelled replied asked "
+                      "sagte sagt schrieb nannte dit écrit appelé crié dijo dice escribió llamó gritó".split())
+INTENTIONS = frozenset("will gonna ll shall going want wanna should must werde wirst wollen vais veux allons voy quiero vamos".split())
+THREATS = frozenset("kill hurt destroy beat shoot stab burn strangle murder punch smash choke hang crush bury maim "
+                    "töten umbringen schlagen verprügeln erschießen tuer frapper brûler étrangler matar golpear quemar estrangular".split())
 
-WORD = re.compile(r"\w+|[\"“”«»]")
-CLAUSE = re.compile(r"[^.!?;:\n]+")
-CLASSES = ("insult", "threat_verb", "intention", "target", "negation", "reporting", "quote", "other")
+WORD = re.compile(r"\w+?(?=n['’]t\b)|n['’]t\b|\w+|[\"“”«»:]")
+CLAUSE_ENDS = ".!?;\n"
+CLAUSE = re.compile(r"[^.!?;\n]+")
+CLASSES = ("stem", "threat_verb", "intention", "target", "opener", "negation", "reporting", "quote", "colon", "other")
+EVENTS = ("insult", "threat")
+
+Arcs = dict[tuple[object, str], list[tuple[object, str, float]]]
 
 
 @dataclass
 class Transducer:
-    """Deterministic: (state, input class) -> (state, output class, factor);
-    missing arcs copy the input and stay. The start state is 0."""
-    arcs: dict[tuple[object, str], tuple[object, str, float]]
+    """Weighted, maybe nondeterministic: (state, input class) -> choices of
+    (state, output class, factor). Missing arcs copy the input and stay; an
+    empty list is a dead end. The start state is 0; a path counts if it ends in
+    a state outside ``unfinished``."""
+    arcs: Arcs
+    unfinished: frozenset = frozenset()
 
-    def step(self, state: object, label: str) -> tuple[object, str, float]:
-        return self.arcs.get((state, label), (state, label, 1.0))
+    def step(self, state: object, label: str) -> list[tuple[object, str, float]]:
+        return self.arcs.get((state, label), [(state, label, 1.0)])
 
 
 def compose(parts: list[Transducer], classes: tuple[str, ...] = CLASSES) -> Transducer:
@@ -77,37 +98,75 @@ def compose(parts: list[Transducer], classes: tuple[str, ...] = CLASSES) -> Tran
     while todo:
         state = todo.pop()
         for label in classes:
-            out, factor, after = label, 1.0, []
+            paths = [((), label, 1.0)]
             for part, s in zip(parts, state):
-                s, out, f = part.step(s, out)
-                after.append(s)
-                factor *= f
-            nxt = tuple(after)
-            arcs[state, label] = (nxt, out, factor)
-            if nxt not in seen:
-                seen.add(nxt)
-                todo.append(nxt)
+                paths = [((*after, nxt), out, factor * f) for after, given, factor in paths for nxt, out, f in part.step(s, given)]
+            arcs[state, label] = paths
+            for nxt, _, _ in paths:
+                if nxt not in seen:
+                    seen.add(nxt)
+                    todo.append(nxt)
     names = {s: i for i, s in enumerate(sorted(seen))}
     assert names[start] == 0
-    return Transducer({(names[s], c): (names[t], o, f) for (s, c), (t, o, f) in arcs.items()})
-
-
-def grammar(negated: float = 0.35, reported: float = 0.5, directed: float = 1.5) -> Transducer:
+    unfinished = frozenset(names[s] for s in seen if any(x in p.unfinished for p, x in zip(parts, s)))
+    return Transducer({(names[s], c): [(names[t], o, f) for t, o, f in paths] for (s, c), paths in arcs.items()}, unfinished)
+
+
+def threat_part() -> Transducer:
+    return Transducer({(0, "intention"): [(1, "other", 1.0)], (1, "threat_verb"): [(0, "threat", 1.0)], (0, "threat_verb"): [(0, "other", 1.0)],
+                       (1, "intention"): [(1, "other", 1.0)], (1, "colon"): [(0, "colon", 1.0)]})
+
+
+def insult_part(lone: float, near: int = 4) -> Transducer:
+    """States: words left in which a stem is opened; "ahead": a target must come."""
+    ahead = near + 1
+    arcs: Arcs = {(ahead, "stem"): [(ahead, "insult", 1.0)], (ahead, "target"): [(near, "target", 1.0)], (ahead, "colon"): [],
+                  (ahead, "opener"): [(ahead, "other", 1.0)]}
+    for left in range(near + 1):
+        later = max(0, left - 1)
+        arcs[left, "stem"] = [(later, "insult", 1.0)] if left else [(0, "insult", lone), (ahead, "insult", 1.0)]
+        arcs[left, "opener"] = [(near, "other", 1.0)]
+        arcs[left, "target"] = [(near, "target", 1.0)]
+        arcs[left, "colon"] = [(0, "colon", 1.0)]
+        for c in ("other", "negation", "reporting", "threat"):
+            arcs[left, c] = [(later, c, 1.0)]
+    return Transducer(arcs, frozenset([ahead]))
+
+
+def negation_part(negated: float, reach: int = 5) -> Transducer:
+    arcs: Arcs = {}
+    for left in range(reach + 1):
+        later = max(0, left - 1)
+        arcs[left, "negation"] = [(reach, "other", 1.0)]
+        arcs[left, "colon"] = [(0, "colon", 1.0)]
+        for c in ("other", "target", "reporting"):
+            arcs[left, c] = [(later, c, 1.0)]
+        for e in EVENTS:
+            arcs[left, e] = [(later, e, negated if left else 1.0)]
+    return Transducer(arcs)
+
+
+def reported_part(reported: float) -> Transducer:
+    """States: 1 after a reporting word, 2 between quotes."""
+    arcs: Arcs = {(0, "reporting"): [(1, "other", 1.0)], (0, "quote"): [(2, "other", 1.0)], (2, "quote"): [(0, "other", 1.0)],
+                  (1, "quote"): [(1, "other", 1.0)]}
+    arcs |= {(s, e): [(s, e, reported)] for s in (1, 2) for e in EVENTS}
+    return Transducer(arcs)
+
+
+def target_part(directed: float) -> Transducer:
+    """States: 1 after a target, 2 where one must come."""
+    arcs: Arcs = {(s, "target"): [(1, "other", 1.0)] for s in (0, 1, 2)}
+    arcs |= {(0, "colon"): [(0, "other", 1.0)], (1, "colon"): [(0, "other", 1.0)], (2, "colon"): []}
+    for e in EVENTS:
+        arcs[0, e] = [(0, e, 1.0), (2, e, directed)]
+        arcs[1, e], arcs[2, e] = [(1, e, directed)], [(2, e, directed)]
+    return Transducer(arcs, frozenset([2]))
+
+
+def grammar(lone: float = 0.4, negated: float = 0.35, reported: float = 0.5, directed: float = 1.5) -> Transducer:
     """The composed grammar. Outputs other than insult and threat weigh nothing."""
-    events = ("insult", "threat")
-    threat = {(0, "intention"): (1, "other", 1.0), (1, "threat_verb"): (0, "threat", 1.0), (0, "threat_verb"): (0, "other", 1.0)}
-    negation: dict = {}
-    for left in range(4):
-        negation[left, "negation"] = (3, "other", 1.0)
-        for c in ("other", "target", "reporting", "quote"):
-            negation[left, c] = (max(0, left - 1), c, 1.0)
-        for e in events:
-            negation[left, e] = (max(0, left - 1), e, negated if left else 1.0)
-    report: dict = {(0, "reporting"): (1, "other", 1.0), (0, "quote"): (2, "other", 1.0), (2, "quote"): (0, "other", 1.0),
-                    (1, "quote"): (1, "other", 1.0), (1, "reporting"): (1, "other", 1.0), (2, "reporting"): (2, "other", 1.0)}
-    report |= {(s, e): (s, e, reported) for s in (1, 2) for e in events}
-    target: dict = {(s, "target"): (1, "other", 1.0) for s in (0, 1)} | {(1, e): (1, e, directed) for e in events}
-    return compose([Transducer(x) for x in (threat, negation, report, target)])
+    return compose([threat_part(), insult_part(lone), negation_part(negated), reported_part(reported), target_part(directed)])
 
 
 GRAMMAR = grammar()
@@ -133,37 +192,48 @@ class Model:
                 return word[:n]
         return None
 
+    def label(self, word: str, matched: set[str]) -> tuple[str, float]:
+        """A token's class and the weight of an event on it."""
+        stem = self.stem_of(word)
+        if stem is not None:
+            matched.add(stem)
+            return "stem", self.stems[stem]
+        for name, words in (("threat_verb", THREATS), ("intention", INTENTIONS), ("target", TARGETS), ("negation", NEGATIONS),
+                            ("opener", OPENERS), ("reporting", REPORTING)):
+            if word in words:
+                return name, THREAT_WEIGHT
+        if word in ("n't", "n’t"):
+            return "negation", 0.0
+        return ("colon" if word == ":" else "other" if word[0].isalnum() or word[0] == "_" else "quote"), 0.0
+
     def clause_weight(self, clause: str, matched: set[str]) -> float:
-        state, total = 0, 0.0
+        """Weight of the clause's best path that ends well."""
+        best = {0: 0.0}
         for m in WORD.finditer(clause):
-            w = m.group()
-            stem = self.stem_of(w)
-            if stem is not None:
-                matched.add(stem)
-                label, weight = "insult", self.stems[stem]
-            else:
-                weight = THREAT_WEIGHT
-                label = ("threat_verb" if w in THREATS else "intention" if w in INTENTIONS else "target" if w in TARGETS
-                         else "negation" if w in NEGATIONS else "reporting" if w in REPORTING
-                         else "other" if w[0].isalnum() or w[0] == "_" else "quote")
-            state, out, factor = GRAMMAR.step(state, label)
-            if out in ("insult", "threat"):
-                total += weight * factor
-        return total
+            label, weight = self.label(m.group(), matched)
+            after: dict[object, float] = {}
+            for state, total in best.items():
+                for nxt, out, factor in GRAMMAR.arcs[state, label]:
+                    w = total + weight * factor if out in EVENTS else total
+                    if w > after.get(nxt, -1.0):
+                        after[nxt] = w
+            best = after
+        return max(w for state, w in best.items() if state not in GRAMMAR.unfinished)
 
     def features(self, text: str) -> list[float]:
-        """1, logs of the weight of all clauses, of the heaviest clause and of
-        the number of different stems."""
+        """1, logs of the weight of all clauses, of the heaviest clause, of the
+        weight a word and of the number of different stems."""
         low, total, most, matched, end = text.lower(), 0.0, 0.0, set(), -1
         for m in self.finder.finditer(low):
             if m.start() < end:
                 continue
-            start = max(low.rfind(c, 0, m.start()) for c in ".!?;:\n") + 1
+            start = max(low.rfind(c, 0, m.start()) for c in CLAUSE_ENDS) + 1
             clause = CLAUSE.match(low, start)
             end = clause.end()
             w = self.clause_weight(clause.group(), matched)
             total, most = total + w, max(most, w)
-        return [1.0, math.log1p(total), math.log1p(most), math.log1p(len(matched))]
+        words = low.count(" ") + low.count("\n") + 1
+        return [1.0, math.log1p(total), math.log1p(most), math.log1p(100 * total / (words + 20)), math.log1p(len(matched))]
 
     def score(self, text: str) -> float:
         if self.weights is None:
@@ -172,30 +242,36 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, z))))
 
 
-def stems_of(text: str) -> set[str]:
-    return {w[:n] for w in set(re.findall(r"\w+", text.lower())) for n in STEM_LENGTHS if n <= len(w)}
+def stems_of(text: str) -> Counter:
+    """Word beginnings, with the number of different words that have them."""
+    return Counter(w[:n] for w in set(re.findall(r"\w+", text.lower())) for n in STEM_LENGTHS if n <= len(w))
+
 
+def evidence(p: int, n: int, words_pos: int, words_neg: int) -> tuple[float, float]:
+    """Log odds of a stem's rate a word, and G squared of its two counts."""
+    odds = math.log((p + 0.5) / (words_pos + 1)) - math.log((n + 0.5) / (words_neg + 1))
+    share = words_pos / (words_pos + words_neg)
+    both = ((p, (p + n) * share), (n, (p + n) * (1 - share)))
+    return odds, 2 * sum(k * math.log(k / e) for k, e in both if k)
 
-def choose_stems(pos: dict[str, int], neg: dict[str, int], n_pos: int, n_neg: int, holders: dict[str, list[int]]) -> dict[str, float]:
+
+def choose_stems(odds: dict[str, float], proof: dict[str, float], holders: dict[str, list[int]]) -> dict[str, float]:
     """Stems with their log odds, greedily: the next is the one that adds most
-    to documents matched fewer than COVER times so far, less the label-0
-    documents it matches; words that only a few copies share add little."""
-    odds = {s: math.log((pos[s] + 0.5) / (n_pos + 1)) - math.log((neg.get(s, 0) + 0.5) / (n_neg + 1)) for s in pos}
+    to documents matched fewer than COVER times so far (of equals the best
+    proven, then the longest); words that only a few copies share add little."""
     need, chosen = defaultdict(lambda: COVER), {}
-    heap = {s: len(holders[s]) for s in pos if odds[s] >= LEAST_ODDS}
+    heap = set(odds)
     while heap:
-        gain = {s: sum(need[d] > 0 for d in holders[s]) - neg.get(s, 0) for s in heap}
-        heap = {s: g for s, g in gain.items() if g >= LEAST_DOCS}
+        gain = {s: sum(need[d] > 0 for d in holders[s]) for s in heap}
+        heap = {s for s, g in gain.items() if g >= LEAST_DOCS}  # gains only fall: the others can't return
         if not heap:
             break
-        best = max(heap, key=lambda s: (heap[s], odds[s], len(s), s))
+        best = max(heap, key=lambda s: (gain[s] * proof[s], len(s), s))
         chosen[best] = odds[best]
         for d in holders[best]:
             need[d] -= 1
         # a stem that extends or shortens the chosen one matches the same words
-        heap = {s: g for s, g in heap.items() if not (s.startswith(best) or best.startswith(s))}
-        # gains only fall: the weakest can't return
-        heap = {s: g for s, g in heap.items() if g >= LEAST_DOCS}
+        heap = {s for s in heap if not (s.startswith(best) or best.startswith(s))}
     return chosen
 
 
@@ -224,29 +300,37 @@ def train(docs: DataFrame, labels_df: DataFrame, sample: int = SAMPLE) -> Model:
     if not n_pos or not n_neg:
         return Model(base)
 
+    # equal texts are one piece of evidence
+    texts_once = written(rows.dropDuplicates(["y", "text"]), "toxic-texts")
+
     def positive(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(d, s) for d, t in zip(b["doc_id"], b["text"]) for s in stems_of(t)]
+            out = [(d, s, n) for d, t in zip(b["doc_id"], b["text"]) for s, n in stems_of(t).items()]
             if out:
-                yield pd.DataFrame(out, columns=["doc_id", "stem"])
+                yield pd.DataFrame(out, columns=["doc_id", "stem", "n"])
 
-    held = rows.where("y = 1").mapInPandas(positive, "doc_id long, stem string")
+    held = texts_once.where("y = 1").mapInPandas(positive, "doc_id long, stem string, n long")
     pairs = written(held, "toxic-stems")
-    frequent = pairs.groupBy("stem").count().where(F.col("count") >= LEAST_DOCS)
-    pos = {r.stem: r["count"] for r in frequent.collect()}  # bounded by the sample
+    frequent = pairs.groupBy("stem").agg(F.sum("n").alias("n"), F.count("*").alias("docs")).where(F.col("docs") >= LEAST_DOCS)
+    pos = {r.stem: r.n for r in frequent.collect()}  # bounded by the sample
 
     def negative(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
         for b in batches:
             for t in b["text"]:
-                seen.update(s for s in stems_of(t) if s in pos)
+                seen.update({s: n for s, n in stems_of(t).items() if s in pos})
         if seen:
             yield pd.DataFrame({"stem": list(seen), "n": list(seen.values())})
 
-    neg = {r.stem: r.n for r in rows.where("y = 0").mapInPandas(negative, "stem string, n long")
+    def word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"y": b["y"], "n": [len(set(re.findall(r"\w+", t.lower()))) for t in b["text"]]})
+
+    neg = {r.stem: r.n for r in texts_once.where("y = 0").mapInPandas(negative, "stem string, n long")
            .groupBy("stem").agg(F.sum("n").alias("n")).collect()}
-    odds = {s: math.log((n + 0.5) / (n_pos + 1)) - math.log((neg.get(s, 0) + 0.5) / (n_neg + 1)) for s, n in pos.items()}
-    wanted = {s for s, v in odds.items() if v >= LEAST_ODDS and pos[s] - neg.get(s, 0) >= LEAST_DOCS}
+    words = {r.y: r.n for r in texts_once.mapInPandas(word_counts, "y int, n long").groupBy("y").agg(F.sum("n").alias("n")).collect()}
+    found = {s: evidence(n, neg.get(s, 0), words.get(1, 0), words.get(0, 0)) for s, n in pos.items()}
+    wanted = {s for s, (odds, proof) in found.items() if odds >= LEAST_ODDS and proof >= LEAST_EVIDENCE}
 
     def holders_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -257,7 +341,7 @@ def train(docs: DataFrame, labels_df: DataFrame, sample: int = SAMPLE) -> Model:
     holders: dict[str, list[int]] = defaultdict(list)
     for r in pairs.mapInPandas(holders_of, "doc_id long, stem string").collect():
         holders[r.stem].append(r.doc_id)
-    stems = choose_stems({s: pos[s] for s in wanted}, neg, n_pos, n_neg, holders)
+    stems = choose_stems({s: found[s][0] for s in wanted}, {s: found[s][1] for s in wanted}, holders)
     draft = Model(base, stems)
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

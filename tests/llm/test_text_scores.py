@@ -91,16 +91,86 @@ def test_grammar_marks_clauses():
     assert weigh("i will kill you") > 0 and weigh("they kill time") == 0
 
 
+def weigher(stem="idiot", weight=4.0):
+    model = toxicity_fst.Model(0.1, {stem: weight})
+    return lambda t: model.clause_weight(t, set())
+
+
+def test_isolated_words_weigh_less_than_clauses():
+    weigh = weigher()
+    lone, opened = weigh("the idiot came"), weigh("what an idiot")
+    assert 0 < lone < opened < weigh("you are an idiot")
+    assert weigh("idiot") == lone
+
+
+def test_a_target_after_the_insult_directs_it():
+    weigh = weigher()
+    assert weigh("idiot, get lost, you") == weigh("you are an idiot") == weigh("what an idiot you are") > weigh("idiot")
+    assert weigh("what an idiot: you came") == weigh("what an idiot")  # a colon parts clauses
+    assert weigh("i will kill you") > weigh("i will kill time")
+
+
+def test_contractions_negate():
+    weigh = weigher()
+    plain = weigh("you are an idiot")
+    for t in ("you aren't an idiot", "you don't look like an idiot", "you arent an idiot", "you aren’t an idiot", "du bist kein idiot"):
+        assert weigh(t) < 0.5 * plain, t
+    assert weigh("you're an idiot") == plain
+    assert weigh("i won't hurt you") < weigh("i'll hurt you") and weigh("i'll hurt you") > 0
+
+
+def test_reported_speech_goes_across_a_colon():
+    weigh = weigher()
+    assert weigh("she wrote: you idiot") < weigh("you idiot") == weigh("note: you idiot")
+    assert weigh('"you idiot" is what i heard') < weigh("you idiot")
+    model = toxicity_fst.Model(0.1, {"idiot": 4.0})
+    assert model.features("she wrote: you idiot")[1] < model.features("she left. you idiot")[1]
+
+
+def test_few_labels_teach_a_repeated_word_family(spark):
+    rng = random.Random(8)
+    words = ["plain%d" % i for i in range(300)]
+    docs, labels = [], []
+    for i in range(240):
+        text = [rng.choice(words) for _ in range(60)]
+        if i % 40 == 0:
+            text += ["grontal" + e for e in ("ish", "ung", "o", "er", "ists", "ment", "x")]
+        docs.append((i, " ".join(text)))
+        labels.append((i, 1, int(i % 40 == 0)))
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity_fst.train(docs, labels)
+    assert any(s.startswith("gron") for s in model.stems)
+    got = toxicity_fst.score(docs, model).join(labels, "doc_id").collect()
+    assert all(r.predicted == r.toxic for r in got)
+
+
+def test_toxicity_held_out_on_the_table(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = toxicity_fst.score(docs, toxicity_fst.train(docs, labels)).join(labels.where("toxic is not null"), "doc_id").where("held_out").collect()
+    toxic, clean = ([r for r in got if r.toxic == y] for y in (1, 0))
+    assert np.mean([r.predicted == 1 for r in toxic]) >= 0.9 and np.mean([r.predicted == 0 for r in clean]) >= 0.95
+
+
 def test_composition_equals_running_the_parts_in_turn():
     rng = random.Random(9)
-    parts = [toxicity_fst.Transducer({(s, c): (rng.randrange(3), rng.choice("abc"), rng.choice([0.5, 1, 2])) for s in range(3) for c in "abc"})
-             for _ in range(3)]
+    choice = lambda: (rng.randrange(3), rng.choice("abc"), rng.choice([0.5, 1, 2]))
+    parts = [toxicity_fst.Transducer({(s, c): [choice() for _ in range(rng.randrange(3))] for s in range(3) for c in "abc"}) for _ in range(3)]
+    parts[0].unfinished = frozenset([2])
     whole = toxicity_fst.compose(parts, ("a", "b", "c"))
-    symbols, states, state = [rng.choice("abc") for _ in range(200)], [0, 0, 0], 0
-    for c in symbols:
-        state, out, factor = whole.step(state, c)
-        label, f = c, 1.0
-        for i, p in enumerate(parts):
-            states[i], label, g = p.step(states[i], label)
-            f *= g
-        assert (out, factor) == (label, f)
+    for _ in range(30):
+        symbols = [rng.choice("abc") for _ in range(4)]
+        paths, plain = [(0, ())], [((0, 0, 0), ())]
+        for c in symbols:
+            paths = [(nxt, (*seen, (out, f))) for s, seen in paths for nxt, out, f in whole.step(s, c)]
+            after = []
+            for states, seen in plain:
+                runs = [((), c, 1.0)]
+                for part, s in zip(parts, states):
+                    runs = [((*t, n), out, f * g) for t, given, f in runs for n, out, g in part.step(s, given)]
+                after += [(t, (*seen, (out, f))) for t, out, f in runs]
+            plain = after
+        ends = [seen for s, seen in paths if s not in whole.unfinished]
+        assert sorted(ends) == sorted(seen for t, seen in plain if t[0] != 2)
+        assert len(paths) == len(plain)
