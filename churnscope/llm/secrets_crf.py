@@ -4,9 +4,12 @@ Base spans are the matches of three fixed patterns. The CRF tags tokens as
 secret begin, inside or outside; a token's features are its shape, length and
 variety of characters, the shapes of its neighbours, a credential word shortly
 before it, and features of the whole text. Its weights are fitted (full-batch
-gradient of the conditional likelihood) on a bounded sample of documents, with
-the value parts of base matches as labels; so it adds spans that look and
-stand like known secrets but fall through the patterns. Texts are decoded by
+gradient of the conditional likelihood) on bounded samples of token runs, with
+the value parts of base matches as labels. Each text with matches is learned
+twice: as it is, and masked, with what the patterns go by taken away (the
+credential word dropped or replaced, the access marker and the hex alphabet
+altered; ``masked``), so that shape and context have to tell. So it adds spans that look and
+Texts are decoded by
 Viterbi over their whole length: stretches of plain words far from any token
 with a digit, a credential word or an unusual length are outside whenever the
 fitted weights prove it (``plain_is_outside``); otherwise every token goes
@@ -22,7 +25,9 @@ learn from and no span is added.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnscope.llm.common import hash_sample, modest_batches, text_or_empty
+from churnscope.llm.common import hash_sample, modest_batches, text_or_empty, written
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -45,8 +50,11 @@ ANY_BASE = (r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"'
 
 #: Prior mean of each feature's weight for the label outside.
 PRIOR_OUTSIDE = 0.7
-#: Bounds of the fitting sample: documents with a base match, and any documents.
+#: Bounds of the fitting sample: documents with a base match, and any documents;
+#: of their token runs (RUN tokens each) those with a tag and those without.
 SAMPLE_WITH, SAMPLE_ANY = 600, 900
+RUNS_WITH, RUNS_ANY = 3000, 9000
+RUN = 48
 
 TOKEN = re.compile(r"[\w+/\-]+|[^\w\s]")
 CREDENTIAL = re.compile(r"password|passwd|secret|token|api_?key|credential|auth", re.I | re.A)
@@ -79,6 +87,41 @@ def value_spans(text: str) -> list[tuple[int, int]]:
     return out + [s for k in ("access", "hex") for s in base_spans(text)[k]]
 
 
+def masked(text: str) -> tuple[str, list[tuple[int, int]]]:
+    """The text without what the base patterns go by, and its values' spans:
+    a credential word is dropped or replaced by the word before it, an access
+    marker by other letters, and the letters of hex values by letters of the
+    whole alphabet; long runs of digits are grouped by dashes. Choices follow a hash of the text."""
+    rng = random.Random(zlib.crc32(text.encode("utf-8", "replace")))
+    upper = "BCDEFGHJKLMNPQRSTUVWXYZ"
+    found = [(m.start(), m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_LEAST]
+    found += [(s, s, e) for k in ("access", "hex") for s, e in base_spans(text)[k]]
+    out, spans, at, n = [], [], 0, 0
+    for start, value, end in sorted(found):
+        if start < at:
+            continue
+        lead = text[start:value]
+        if lead:
+            word = CREDENTIAL.match(lead).end()
+            before = re.findall(r"[A-Za-z]+", text[max(0, start - 40):start])
+            lead = (before[-1] if before and rng.random() < 0.5 and not CREDENTIAL.search(before[-1]) else "") + lead[word:]
+        secret = text[value:end]
+        if secret.startswith("AKIA"):
+            secret = "".join(rng.choice(upper) for _ in range(4)) + secret[4:]
+        elif HEX.search(secret):
+            wide = upper if rng.random() < 0.5 else upper + upper.lower()
+            secret = secret.translate({ord(c): rng.choice(wide) for c in "abcdef"})
+        if HEX.search(secret):  # digits alone
+            secret = "-".join(secret[i:i + 4] for i in range(0, len(secret), 4))
+        pieces = [text[at:start], lead]
+        n += sum(map(len, pieces))
+        spans.append((n, n + len(secret)))
+        n += len(secret)
+        out += [*pieces, secret]
+        at = end
+    return "".join([*out, text[at:]]), spans
+
+
 def token_features(token: str) -> tuple[int, int, int, int, bool]:
     """shape, length bucket, variety bucket, known prefix, separator-or-quote."""
     n = len(token)
@@ -219,22 +262,37 @@ class Crf:
         return path[::-1]
 
 
-def fit(texts: list[str], steps: int = 80, rate: float = 0.2, decay: float = 5e-4) -> Crf | None:
-    """Weights from a bounded list of texts by full-batch gradient (Adam) of
-    the conditional likelihood; runs are cut at 48 tokens for fitting only.
-    The prior mean favours outside, so features never seen don't tag."""
-    runs, gold, cache = [], [], {}
-    for text in texts:
-        values = value_spans(text)
-        for spans, rows in feature_rows(text, segments(text), cache):
-            tags = np.zeros(len(spans), dtype=np.int64)
-            for a, b in values:
-                inside = [i for i, (s, e) in enumerate(spans) if s < b and e > a]
-                for i in inside:
-                    tags[i] = B if i == inside[0] else I
-            for k in range(0, len(spans), 48):
-                runs.append(rows[k:k + 48])
-                gold.append(tags[k:k + 48])
+def tagged_runs(text: str, values: list[tuple[int, int]], cache: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Feature rows and tags of the text's decoded runs, cut at RUN tokens."""
+    for spans, rows in feature_rows(text, segments(text), cache):
+        tags = np.zeros(len(spans), dtype=np.int64)
+        for a, b in values:
+            inside = [i for i, (s, e) in enumerate(spans) if s < b and e > a]
+            for i in inside:
+                tags[i] = B if i == inside[0] else I
+        for k in range(0, len(spans), RUN):
+            yield rows[k:k + RUN], tags[k:k + RUN]
+
+
+def learned_runs(text: str, cache: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs of the text and, if it has values, of its masked form."""
+    values = value_spans(text)
+    yield from tagged_runs(text, values, cache)
+    if values:
+        yield from tagged_runs(*masked(text), cache)
+
+
+def fit(texts: list[str], **how) -> Crf | None:
+    """Weights from a list of texts (see ``fit_runs``)."""
+    cache: dict = {}
+    return fit_runs([r for t in texts for r in learned_runs(t, cache)], **how)
+
+
+def fit_runs(tagged: list[tuple[np.ndarray, np.ndarray]], steps: int = 80, rate: float = 0.2, decay: float = 5e-4) -> Crf | None:
+    """Weights from a bounded list of runs by full-batch gradient (Adam) of
+    the conditional likelihood. The prior mean favours outside, so features
+    never seen don't tag."""
+    runs, gold = [r for r, _ in tagged], [g for _, g in tagged]
     if not any(g.any() for g in gold):
         return None
     n, longest = len(runs), max(map(len, runs))
@@ -331,10 +389,23 @@ def spans_text(spans: dict[str, list[tuple[int, int]]]) -> str:
 def train(docs: DataFrame, with_match: int = SAMPLE_WITH, any_doc: int = SAMPLE_ANY) -> Crf | None:
     """Fit on at most ``with_match`` documents with a base match and
     ``any_doc`` of all, the first by a hash of id and text."""
+    modest_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     some = hash_sample(narrow.where(F.col("text").rlike(ANY_BASE)), with_match, "doc_id", "text")
     plain = hash_sample(narrow, any_doc, "doc_id", "text")
-    return fit([r.text for r in some.union(plain).select("text").collect()])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache: dict = {}
+        for b in batches:
+            for text in b["text"]:
+                found = [(r.astype(np.int32).tobytes(), g.astype(np.int8).tobytes(), bool(g.any())) for r, g in learned_runs(text, cache)]
+                if found:
+                    yield pd.DataFrame(found, columns=["x", "y", "tagged"])
+
+    # texts stay in the tasks; the driver gets bounded numbers of short runs
+    runs = written(some.union(plain).select("text").mapInPandas(run, "x binary, y binary, tagged boolean"), "secret-runs")
+    got = [r for mark, n in ((True, RUNS_WITH), (False, RUNS_ANY)) for r in hash_sample(runs.where(F.col("tagged") == mark), n, "x", "y").collect()]
+    return fit_runs([(np.frombuffer(r.x, np.int32).reshape(len(r.y), -1), np.frombuffer(r.y, np.int8).astype(np.int64)) for r in got])
 
 
 def scan(docs: DataFrame, crf: Crf | None, keep: list[str] | None = None) -> DataFrame:
