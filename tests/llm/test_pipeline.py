@@ -66,7 +66,7 @@ def test_queries_match_their_sql(spark, name):
     import duckdb
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     df = QUERIES[name](spark, sf)
     cols = sorted(df.columns)
