@@ -1,8 +1,8 @@
 """Models and ensembles.
 
-Logistic regression is Spark ML's; forests and boosted trees are those of
-``operators.trees``, which fit several models, and the folds of a
-cross-validation, in shared passes. What is written here is the protocol
+Logistic regression is that of ``operators.logistic`` (Newton steps); forests and
+boosted trees are those of ``operators.trees``, which fit several models, and the
+folds of a cross-validation, in shared passes. What is written here is the protocol
 around them — scaling, class weights, the train loop and its result table, the
 top-3 soft vote, stratified k-fold AUC, scoring all customers and feature
 importances — all as DataFrame jobs (metrics use the distributed evaluation of
@@ -15,14 +15,14 @@ from contextvars import copy_context
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnscope.config import DEFAULT
+from churnscope.operators import logistic
 from churnscope.operators import metrics as mt
 from churnscope.operators import ml_prep as mp
 from churnscope.operators import trees
@@ -36,7 +36,7 @@ PROB = "churn_probability"
 @dataclass(frozen=True)
 class ModelSpec:
     name: str
-    kind: str                      # lr | rf | gbt (Spark ML) | boost | forest (operators.trees)
+    kind: str                      # lr (operators.logistic) | rf | gbt (Spark ML) | boost | forest (operators.trees)
     params: dict = field(default_factory=dict)
     weight: str | None = None      # balanced | pos | None
     scaled: bool = False           # fit on standardised features
@@ -47,19 +47,19 @@ class ModelSpec:
 # parameters; what it leaves to its libraries' defaults (regularisation, least
 # Hessian, start at the mean) is stated here. ``gbt_pos_weighted`` is second-order
 # boosting by level with a weight on positives, ``gbt_balanced`` leaf-wise boosting.
-# Logistic regression keeps the original's convergence tolerance (1e-4, the
-# scikit-learn default) rather than Spark's tighter 1e-6.
+# Logistic regression has C = 1; the integrated step's solver penalises the
+# intercept too, the time-series step's doesn't.
 FRIEDMAN = {"trees": 100, "rate": 0.1, "depth": 5, "gain": "friedman", "l2": 0.0, "least_hessian": 0.0, "least_split": 20, "from_mean": True}
 NEWTON = {"trees": 200, "rate": 0.1, "depth": 6, "l2": 1.0, "least_hessian": 1.0}
 LEAF_WISE = {"trees": 200, "rate": 0.1, "depth": 6, "leaves": 31, "l2": 0.0, "least_hessian": 1e-3, "least_rows": 20, "from_mean": True}
 TS_SPECS = [
-    ModelSpec("Logistic Regression", "lr", {"maxIter": 1000, "tol": 1e-4}, "balanced",
+    ModelSpec("Logistic Regression", "lr", {"c": 1.0, "penalise_intercept": False}, "balanced",
               scaled=True),
     ModelSpec("Random Forest", "forest", {"trees": 100, "depth": 10, "least_split": 20, "least_rows": 10}, "balanced"),
     ModelSpec("Gradient Boosting", "boost", FRIEDMAN),
 ]
 CH_SPECS = [
-    ModelSpec("LogisticRegression", "lr", {"maxIter": 1000, "tol": 1e-4}, "balanced",
+    ModelSpec("LogisticRegression", "lr", {"c": 1.0, "penalise_intercept": True}, "balanced",
               scaled=True, smote=True),
     ModelSpec("RandomForest", "forest", {"trees": 200, "depth": 10, "least_split": 20, "least_rows": 10}, "balanced"),
     ModelSpec("GradientBoosting", "boost", FRIEDMAN),
@@ -69,19 +69,9 @@ CH_SPECS = [
 TREE_KINDS = ("boost", "forest")
 
 
-def _estimator(spec: ModelSpec, n_weight: float | None, seed: int):
-    p = dict(spec.params)
-    common = {"featuresCol": "features", "labelCol": LABEL}
-    if spec.weight:
-        common["weightCol"] = "weight"
-    if spec.kind == "lr":
-        # C = 1 in a per-sample-weighted objective: regParam = 1 / Σw
-        reg = 1.0 / n_weight if n_weight else 0.0
-        return LogisticRegression(regParam=reg, elasticNetParam=0.0, standardization=False,
-                                  **common, **p)
-    if spec.kind == "rf":
-        return RandomForestClassifier(seed=seed, **common, **p)
-    return GBTClassifier(seed=seed, **common, **p)
+def _estimator(spec: ModelSpec, seed: int):
+    common = {"featuresCol": "features", "labelCol": LABEL, "seed": seed} | ({"weightCol": "weight"} if spec.weight else {})
+    return (RandomForestClassifier if spec.kind == "rf" else GBTClassifier)(**common, **spec.params)
 
 
 def pos_weight(train: DataFrame) -> float:
@@ -113,11 +103,11 @@ def fit(spec: ModelSpec, train: DataFrame, features: list[str], seed: int = DEFA
         data = mp.with_weights(data, LABEL, spec.weight, "weight")
     # written once: iterative learners then read the materialised rows
     data = materialize(data, "training")
-    n_weight = None
-    if spec.kind == "lr":
-        n_weight = data.agg(F.sum("weight" if spec.weight else F.lit(1.0))).first()[0]
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[assembler, _estimator(spec, n_weight, seed)]).fit(data)
+    if spec.kind == "lr":
+        found = logistic.fit(data, features, LABEL, "weight" if spec.weight else None, **spec.params)
+        return PipelineModel(stages=[assembler, logistic.stage(data.sparkSession, found)])
+    return Pipeline(stages=[assembler, _estimator(spec, seed)]).fit(data)
 
 
 def task(spec: ModelSpec, counts: dict[tuple[int, int], int], seed: int, fold: int | None = None,

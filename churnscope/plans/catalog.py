@@ -848,6 +848,28 @@ def q_feature_importance_ch(spark, sf):
     return mdl.ch_step(spark, sf).importance
 
 
+# the gradient of the objective at the optimum is zero in every coordinate
+@register("logistic_gradient_ts", sql(
+    "SELECT f.feature, count(*) AS customers, CAST(0 AS DOUBLE) AS gradient FROM ts_data, (SELECT unnest(["
+    + ", ".join(f"'{f}'" for f in [*TS_MODEL_FEATURES, "(intercept)"]) + "]) AS feature) f GROUP BY f.feature", level="data"))
+def q_logistic_gradient_ts(spark, sf):
+    """Gradient of the penalised loss over all customers, added up by
+    built-in functions from the fitted coefficients, in absolute value to 6 places."""
+    from churnscope.operators import logistic
+    from churnscope.operators.features import model_frame
+    feats = TS_MODEL_FEATURES
+    frame = model_frame(st.feature_table(spark, sf, "ts"), "ts")
+    scaled = mp.standardize(frame, mp.scaler_stats(frame, feats), feats).select("CustomerID", "is_churned", *feats)
+    data = materialize(mp.with_weights(scaled, "is_churned", "balanced", "weight"), "all-rows")
+    best = logistic.fit(data, feats, "is_churned", "weight", c=1.0, penalise_intercept=True)
+    z = sum((F.col(f) * F.lit(b) for f, b in zip(feats, best.coefficients)), F.lit(best.intercept))
+    off = F.col("weight") * (F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) - F.col("is_churned"))
+    rows = [(f, x, b) for f, x, b in zip([*feats, "(intercept)"], [*map(F.col, feats), F.lit(1.0)], [*best.coefficients, best.intercept])]
+    one = data.agg(F.count(F.lit(1)).alias("customers"), *[(F.sum(off * x) + F.lit(b)).alias(f"g{i}") for i, (_, x, b) in enumerate(rows)])
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"g{i}").alias("g")) for i, (f, _, _) in enumerate(rows)])).alias("r")
+    return one.select("customers", each).select("r.feature", "customers", round_even(F.abs("r.g"), 6).alias("gradient"))
+
+
 @register("smote_train")
 def q_smote_train(spark, sf):
     """M6 on the events fixture, whose churned class is the minority."""
