@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnscope.config import DEFAULT, Params
-from churnscope.functions.columns import elapsed_days, money, safe_div
-from churnscope.functions.rules import quintile, segment_of
-from churnscope.operators.ranking import multi_rank, quantile_from_rank, reliable_checkpoint
+from churnscope.functions.columns import UNITS, elapsed_days, money, safe_div
+from churnscope.functions.rules import segment_of
+from churnscope.operators import selection as sel
+from churnscope.operators.ranking import materialize, multi_rank
 
 RFM_COLUMNS = ["CustomerID", "Recency", "Frequency", "Monetary", "R_Score",
                "F_Score", "M_Score", "RFM_Score", "Segment", "is_churned",
@@ -62,24 +63,42 @@ def rfm_base(clean: DataFrame, ad: DataFrame | None = None) -> DataFrame:
     )
 
 
-def rfm_scores(base: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Ranks with ties broken by CustomerID, then quintile bins.
-
-    R is reversed (most recent = 5). The customer table is written once
-    (checkpoint) and the three ranks come from one distributed rank over
-    its narrow long form (``multi_rank``)."""
-    base = reliable_checkpoint(base)
-    m = multi_rank(base, "CustomerID",
-                   {"r": F.col("Recency").cast("bigint"), "f": F.col("Frequency").cast("bigint"),
-                    "m": F.col("Monetary_exact").cast("bigint")},
-                   prefix="_rk_", total_col="_n", num_partitions=num_partitions)
-    n = F.col("_n")
-    return (m.withColumn("R_Score", (F.lit(6) - quintile(F.col("_rk_r"), n)).cast("int"))
-            .withColumn("F_Score", quintile(F.col("_rk_f"), n))
-            .withColumn("M_Score", quintile(F.col("_rk_m"), n))
+METRICS = {"R_Score": "Recency", "F_Score": "Frequency", "M_Score": "Monetary_exact"}
+
+
+def rfm_scores(base: DataFrame, num_partitions: int | None = None, q: float = DEFAULT.hv_quantile,
+               sample: int = 20_000) -> DataFrame:
+    """Quintile bins in the order (value, CustomerID), and the ``q``
+    quantile of Monetary as ``_hv_threshold``.
+
+    R is reversed (most recent = 5). The customer table is written once; the four
+    cut rows of each metric and the two rows of the quantile are selected
+    (``operators.selection``), so no row is sorted or shuffled. ``num_partitions``
+    is that of the written table."""
+    long = [F.col(c).cast("bigint").alias(c) if c in METRICS.values() else F.col(c) for c in base.columns]
+    base = base.select(*long)
+    base = materialize(base.repartition(num_partitions) if num_partitions else base, "rfm-base")
+    found = sel.rows_at(base, "CustomerID", list(METRICS.values()),
+                        lambda n: sel.quintile_cuts(n) + sel.quantile_positions(n, q), sample)
+    score = {}
+    for name, c in METRICS.items():
+        n, rows = found[c]
+        score[name] = sel.bin_of(c, "CustomerID", [rows[p] for p in sel.quintile_cuts(n)])
+    threshold = sel.quantile(*found["Monetary_exact"], q, UNITS)
+    return (base.withColumn("R_Score", (F.lit(6) - score["R_Score"]).cast("int"))
+            .withColumn("F_Score", score["F_Score"])
+            .withColumn("M_Score", score["M_Score"])
             .withColumn("RFM_Score", F.concat(F.col("R_Score").cast("string"),
                                               F.col("F_Score").cast("string"),
-                                              F.col("M_Score").cast("string"))))
+                                              F.col("M_Score").cast("string")))
+            .withColumn("_hv_threshold", F.lit(threshold).cast("double")))
+
+
+def recency_rank(base: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Every customer's position by Recency, ties by CustomerID (a rank of
+    all rows, which the scores don't need)."""
+    return multi_rank(base.select("CustomerID", "Recency"), "CustomerID", {"r": F.col("Recency").cast("bigint")},
+                      num_partitions=num_partitions).select("CustomerID", F.col("_rk_r").alias("recency_rank"))
 
 
 def assign_segment(df: DataFrame) -> DataFrame:
@@ -93,24 +112,17 @@ def label_churn(df: DataFrame, days: int = DEFAULT.churn_days) -> DataFrame:
     return df.withColumn("is_churned", (F.col("Recency") > days).cast("int"))
 
 
-def flag_high_value(scored: DataFrame, q: float = DEFAULT.hv_quantile) -> DataFrame:
-    """T6 + T7: Monetary at or above its linear-interpolated ``q`` quantile.
-
-    The quantile is read off the Monetary rank already computed for the
-    scores (two rows), then broadcast as a one-row scalar."""
-    thr = quantile_from_rank(scored, "_rk_m", "Monetary", "_n", q, "_hv_threshold")
-    return (scored.crossJoin(F.broadcast(thr))
-            .withColumn("is_high_value",
-                        (F.col("Monetary") >= F.col("_hv_threshold")).cast("int")))
+def flag_high_value(scored: DataFrame) -> DataFrame:
+    """Monetary at or above the quantile that ``rfm_scores`` selected."""
+    return scored.withColumn("is_high_value", (F.col("Monetary") >= F.col("_hv_threshold")).cast("int"))
 
 
 def rfm_table(clean: DataFrame, params: Params = DEFAULT,
               keep_internal: bool = False,
               num_partitions: int | None = None) -> DataFrame:
     """The full RFM table (14 contract columns, one row per customer)."""
-    scored = rfm_scores(rfm_base(clean), num_partitions)
-    out = label_churn(assign_segment(scored), params.churn_days)
-    out = flag_high_value(out, params.hv_quantile)
+    scored = rfm_scores(rfm_base(clean), num_partitions, params.hv_quantile)
+    out = flag_high_value(label_churn(assign_segment(scored), params.churn_days))
     if keep_internal:
         return out
     return out.select(*RFM_COLUMNS)

@@ -204,9 +204,8 @@ def q_rfm_base(spark, sf):
     "CAST(R_Score AS VARCHAR) || CAST(F_Score AS VARCHAR) || CAST(M_Score AS VARCHAR) AS RFM_Score "
     "FROM scored"))
 def q_rfm_scores(spark, sf):
-    return st.rfm_internal(spark, sf).select(
-        "CustomerID", F.col("_rk_r").alias("recency_rank"), "R_Score", "F_Score",
-        "M_Score", "RFM_Score")
+    table = st.rfm_internal(spark, sf)
+    return table.select("CustomerID", "R_Score", "F_Score", "M_Score", "RFM_Score").join(rf.recency_rank(table), "CustomerID")
 
 
 @register("rfm_table", sql(f"SELECT {O.RFM_COLUMNS_SQL} FROM rfm"))
@@ -222,10 +221,7 @@ def q_rfm_table_events(spark, sf):
 @register("high_value_threshold", sql(
     f"SELECT {R('quantile_cont(Monetary, 0.8)')} AS threshold FROM b2"))
 def q_high_value_threshold(spark, sf):
-    from churnscope.operators.ranking import quantile_from_rank
-    t = quantile_from_rank(st.rfm_internal(spark, sf), "_rk_m", "Monetary", "_n", 0.8,
-                           "threshold")
-    return rounded(t)
+    return rounded(st.rfm_internal(spark, sf).agg(F.max("_hv_threshold").alias("threshold")))
 
 
 @register("population_stats", sql(
