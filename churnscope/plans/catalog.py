@@ -32,6 +32,7 @@ from churnscope.plans import oracle as O
 from churnscope.plans import steps as st
 from churnscope.session import ensure_checkpoint_dir
 from churnscope.sources import read_rejects, read_transactions
+from churnscope.streaming import current_alerts, replay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -557,6 +558,16 @@ def q_early_warning_ch(spark, sf):
     return rounded(rp.early_warning(_scored(spark, sf, "ch"), min_probability=0.5))
 
 
+@register("early_warning_stream", sql(
+    f"SELECT CustomerID, {R('purchase_interval_trend')} AS purchase_interval_trend, "
+    f"{R('recent_activity_ratio_30d')} AS recent_activity_ratio_30d FROM ts_data WHERE {EARLY}", level="data"))
+def q_early_warning_stream(spark, sf):
+    """The customers that warn after the purchases came in four deliveries,
+    with a restart of the stream after each."""
+    purchases = sq.ts_grain(st.clean_lines(spark, sf)).select("CustomerID", "ts", "n")
+    return rounded(current_alerts(replay(spark, purchases)))
+
+
 ACTION_ROWS = " UNION ALL ".join(
     f"SELECT '{seg}' AS Segment, '{act}' AS action, CAST({i + 1} AS INTEGER) AS tactic_no, "
     f"'{tac}' AS tactic"
