@@ -3,7 +3,7 @@
 Each entry pairs a Spark builder ``(spark, sf_dir) -> DataFrame`` with an
 independent DuckDB statement over the raw test tables (``None`` for model
 training, whose results are checked on rows only). Floating columns that
-two engines may sum in a different order are rounded half-up to 6 dp on
+two engines may sum in a different order are rounded half to even to 6 dp on
 both sides (``round_even`` / ``round_sql``).
 """
 

@@ -264,7 +264,7 @@ def round_sql(expr: str, digits: int = 6) -> str:
 
 
 def select_rounded(columns: list[tuple[str, bool]], source: str, digits: int = 6) -> str:
-    """SELECT list where the flagged (double) columns are rounded half-up."""
+    """SELECT list where the flagged (double) columns are rounded half to even."""
     items = [f"{round_sql(c, digits)} AS {c}" if rnd else c for c, rnd in columns]
     return f"SELECT {', '.join(items)} FROM {source}"
 
