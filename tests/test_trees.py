@@ -214,3 +214,44 @@ def test_saved_models_and_missing_values(spark, tmp_path):
         none = df.where("1 = 0")
         data = tr.blocks(none, FEATURES, [np.zeros(0)] * 3, "is_churned", "CustomerID")
         tr.boost(data, [tr.Task(tr.Boost(trees=1))], [np.zeros(0)] * 3, {}, FEATURES)
+
+
+def test_rows_of_one_file_are_dealt_to_all_cores(spark):
+    x, y = table(3 * tr.FEW_ROWS, 7)
+    df = frame(spark, x, y).coalesce(1)
+    data = tr.blocks(df, FEATURES, tr.bin_edges(df, FEATURES, 8), "is_churned", "CustomerID")
+    assert data.getNumPartitions() == min(3, spark.sparkContext.defaultParallelism) > 1
+    assert sum(len(b.y) for b in data.collect()) == len(y)
+
+
+def test_no_histogram_comes_to_the_driver(spark, monkeypatch):
+    import pickle
+
+    from pyspark import RDD
+    sent, collect = [], RDD.collect
+
+    def counted(self):
+        out = collect(self)
+        sent.append(len(pickle.dumps(out)))
+        return out
+
+    monkeypatch.setattr(RDD, "collect", counted)
+    x, y = table(2000, 8)
+    fitted(spark, x, y, [tr.Task(tr.Boost(trees=2, depth=4))], max_bins=128)
+    fitted(spark, x, y, [tr.Task(tr.Forest(trees=2, depth=4))], max_bins=128)
+    # one node's histogram would be 3 features x some 100 bins x 4 doubles
+    assert sent and max(sent) < 8 * 1000
+
+
+def test_what_a_worker_knows_changes_nothing():
+    x, y = table(300, 9)
+    bins = np.asfortranarray(np.column_stack([np.searchsorted(np.quantile(c, np.arange(1, 16) / 16), c) for c in x.T]).astype(np.uint8))
+    block = tr.Block(bins, y.astype(np.uint8), np.arange(300), np.zeros(300, np.int16), np.zeros((1, 300)))
+    grown = [tr.Nodes(*(np.array(c) for c in ([f, -1, -1], [7, 0, 0], [1, -1, -1], [2, -1, -1], [0.0, v, -v], [0.0] * 3))) for f, v in ((0, 0.3), (1, 0.7), (2, 0.11))]
+    task = tr.Task(tr.Boost(), (1.0, 2.0))
+    for n in (1, 2, 2, 3, 1):
+        got = tr._gradients(block, 0, task, 0.1, grown[:n], n, 2.0 ** 30, "a")
+        tr._known.clear() if n == 3 else None
+        fresh = tr._gradients(block, 0, task, 0.1, grown[:n], n, 2.0 ** 30, f"b{n}")
+        assert all((a == b).all() for a, b in zip(got, fresh))
+        tr._gradients(block, 0, task, 0.1, grown[:n], n, 2.0 ** 30, "a")
