@@ -255,3 +255,33 @@ def test_what_a_worker_knows_changes_nothing():
         fresh = tr._gradients(block, 0, task, 0.1, grown[:n], n, 2.0 ** 30, f"b{n}")
         assert all((a == b).all() for a, b in zip(got, fresh))
         tr._gradients(block, 0, task, 0.1, grown[:n], n, 2.0 ** 30, "a")
+
+
+def test_small_nodes_grown_by_a_reducer_equal_passes_to_the_leaves(spark, monkeypatch):
+    x, y = table(700, 10)
+    tasks = [*VARIANTS.values(), tr.Task(tr.Boost(trees=12, depth=4, rows=0.6), (1.0, 2.0)), tr.Task(tr.Boost(trees=2, depth=5), fold=1)]
+    passes, found = [], tr._found
+    monkeypatch.setattr(tr, "_found", lambda *a: passes.append(a) or found(*a))
+    seen = {}
+    for most in (0, 60, 1 << 17):
+        monkeypatch.setattr(tr, "LOCAL_ROWS", most)
+        passes.clear()
+        _, models = fitted(spark, x, y, tasks, fold="fold")
+        seen[most] = ([list(m.rows()) for m in models], [m.importance.tolist() for m in models], len(passes))
+    assert seen[0][:2] == seen[60][:2] == seen[1 << 17][:2]
+    # a small table takes one pass a tree, not one a level
+    assert seen[1 << 17][2] == 12 < seen[60][2] <= seen[0][2]
+    # no reducer gets a node of more rows than that
+    monkeypatch.setattr(tr, "LOCAL_ROWS", 60)
+    passes.clear()
+    fitted(spark, x, y, tasks, fold="fold")
+    assert 0 < max(n for a in passes for n in a[4]) <= 60
+
+
+def test_small_nodes_are_spread_by_their_rows():
+    at = tr._spread([16_000, 10, 16_000, 20, 9_000, 30], 8)
+    assert len({at[0], at[2], at[4]}) == 3 and max(at) < 8
+    assert tr._spread([], 8) == [] and set(tr._spread([5, 6], 8)) == {0}
+    many = tr._spread([tr.LOCAL_ROWS] * 100, 4)
+    load = np.bincount(many) * tr.LOCAL_ROWS
+    assert load.max() <= tr.MOST_GROWN + tr.LOCAL_ROWS and len(load) > 4
