@@ -285,3 +285,27 @@ def test_small_nodes_are_spread_by_their_rows():
     many = tr._spread([tr.LOCAL_ROWS] * 100, 4)
     load = np.bincount(many) * tr.LOCAL_ROWS
     assert load.max() <= tr.MOST_GROWN + tr.LOCAL_ROWS and len(load) > 4
+
+
+def test_a_subtree_sums_the_rows_of_smaller_children_only(monkeypatch):
+    n, depth, unit, n_bins = 4000, 6, 2.0 ** 30, [16, 16, 16]
+    rng = np.random.default_rng(5)
+    bins, y = np.asfortranarray(rng.integers(0, 16, (n, 3)).astype(np.uint8)), (rng.random(n) < 0.4).astype(np.uint8)
+    g, h = np.rint(rng.normal(size=n) * unit) / unit, np.rint(rng.random(n) * unit) / unit
+    task, allowed = tr.Task(tr.Boost(trees=1, depth=depth, l2=0.5, least_hessian=0.0), (1.0, 2.0)), np.ones(3, bool)
+    values = [g, h, 1.0 + y * float(tr.PAIR)]
+
+    plain = tr._Growing(task.params, allowed)
+    while plain.wanted:
+        at, found = tr.route(plain.frozen(), bins), []
+        for node in plain.wanted:
+            on = np.flatnonzero(at == node)
+            found.append(tr._split([(task, allowed)], n_bins, unit, 0, tr._histograms(np.zeros(len(on), int), 1, list(bins[on].T), [v[on] for v in values], n_bins)[0]))
+        plain.learn(found)
+
+    summed, histograms = [], tr._histograms
+    monkeypatch.setattr(tr, "_histograms", lambda mine, *a: summed.append(len(mine)) or histograms(mine, *a))
+    got = tr._subtree([(task, allowed, 0)], n_bins, unit, 0, [(bins[:1500].tobytes(), g[:1500], h[:1500], y[:1500]), (bins[1500:].tobytes(), g[1500:], h[1500:], y[1500:])])
+    for a, b in zip(got, plain.splits()):
+        assert np.array_equal(a, b)
+    assert sum(summed) <= n + (depth - 1) * n / 2
