@@ -4,8 +4,8 @@ The objective is the original's: half the squared norm of the coefficients plus
 C times the weighted log loss, where the intercept is penalised like a
 coefficient (``penalise_intercept``, the original's dual-coordinate solver) or not
 (its quasi-Newton solver). A step is one pass: every partition adds up its loss,
-gradient and X'WX, the partial sums are added by position, and the driver solves
-a system of (features + 1) unknowns by Cholesky. What reaches the driver is
+gradient and X'WX from rows kept as matrices, the partial sums are added, and the
+driver solves a system of (features + 1) unknowns by Cholesky. What reaches the driver is
 (features + 1)(features + 2) + 1 numbers, however many rows or partitions.
 
 An empty table gives coefficients of zero. Rows of one class only, without a
@@ -18,7 +18,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.common import _py2java
 from pyspark.ml.linalg import Vectors
@@ -34,28 +35,48 @@ class Optimum:
     passes: int
 
 
-def _sums(data: DataFrame, features: list[str], label: str, weight: str | None, theta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+def _blocks(data: DataFrame, features: list[str], label: str, weight: str | None) -> RDD:
+    """The rows as matrices of features, 1, label and weight, kept in memory or on
+    disk, so that a step doesn't read and convert the table again. A lost one is
+    made anew from ``data``."""
+    width = len(features) + 3
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = np.empty((b.num_rows, width))
+            for i, c in enumerate(b.columns):
+                x[:, i] = c.to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], ["x"])
+
+    columns = [*map(F.col, features), F.lit(1), F.col(label), F.col(weight) if weight else F.lit(1)]
+    rows = data.select(*[c.cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).mapInArrow(packed, "x binary")
+    return rows.rdd.map(lambda r: np.frombuffer(bytes(r[0])).reshape(-1, width)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _sums(blocks: RDD, theta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     """Weighted log loss, its gradient and X'WX at ``theta``; the intercept is last."""
-    width = len(features) + 1
+    width = len(theta)
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(part: int, some: Iterator[np.ndarray]) -> Iterator[tuple[int, tuple]]:
         loss, grad, hess = 0.0, np.zeros(width), np.zeros((width, width))
-        for b in batches:
-            x = np.column_stack([b[features].to_numpy(np.float64), np.ones(len(b))])
-            y = b[label].to_numpy(np.float64)
-            w = b[weight].to_numpy(np.float64) if weight else np.ones(len(b))
+        for b in some:
+            x, y, w = b[:, :width], b[:, width], b[:, width + 1]
             z = x @ theta
             p = np.where(z >= 0, 1.0, np.exp(-np.abs(z))) / (1.0 + np.exp(-np.abs(z)))
             loss += float((w * (np.logaddexp(0.0, z) - y * z)).sum())
             grad += x.T @ (w * (p - y))
             hess += x.T @ (x * (w * p * (1.0 - p))[:, None])
-        yield pd.DataFrame({"sums": [np.concatenate([[loss], grad, hess.ravel()])]})
+        yield 0, (part, np.concatenate([[loss], grad, hess.ravel()]))
+
+    def added(parts: Iterator[tuple[int, tuple]]) -> Iterator[np.ndarray]:
+        # in the partitions' order: a float sum depends on it
+        some = sorted((p for _, p in parts), key=lambda p: p[0])
+        if some:
+            yield sum(s for _, s in some)
 
-    columns = [F.col(f).cast("double").alias(f) for f in features] + [F.col(label)] + ([F.col(weight)] if weight else [])
-    parts = data.select(*columns).mapInPandas(partial, "sums array<double>")
     total = np.zeros(1 + width + width * width)
-    for r in parts.select(F.posexplode("sums").alias("i", "s")).groupBy("i").agg(F.sum("s").alias("s")).collect():
-        total[r["i"]] = r["s"]
+    for found in blocks.mapPartitionsWithIndex(partial).partitionBy(1, int).mapPartitions(added).collect():
+        total = found
     return total[0], total[1:1 + width], total[1 + width:].reshape(width, width)
 
 
@@ -67,9 +88,10 @@ def fit(data: DataFrame, features: list[str], label: str, weight: str | None = N
     penalty = np.ones(len(features) + 1)
     penalty[-1] = float(penalise_intercept)
     total = data.agg(F.sum(weight if weight else F.lit(1.0))).first()[0] or 0.0
+    blocks = _blocks(data, features, label, weight)
 
     def at(theta: np.ndarray):
-        loss, grad, hess = _sums(data, features, label, weight, theta)
+        loss, grad, hess = _sums(blocks, theta)
         return 0.5 * float(penalty @ (theta * theta)) + c * loss, penalty * theta + c * grad, np.diag(penalty) + c * hess
 
     theta, n = np.zeros(len(features) + 1), 1
@@ -89,6 +111,7 @@ def fit(data: DataFrame, features: list[str], label: str, weight: str | None = N
         if better is None:
             break
         theta, (value, grad, hess) = theta - scale * step, better
+    blocks.unpersist()
     return Optimum(theta[:-1].tolist(), float(theta[-1]), float(np.linalg.norm(grad)), n)
 
 

@@ -58,6 +58,21 @@ def test_optimum_does_not_depend_on_partitions(spark):
     assert np.allclose([r[0][1] for r in scored], 1 / (1 + np.exp(-z)))
 
 
+def test_steps_do_not_read_the_table_again(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rng = np.random.default_rng(5)
+    rows = [(float(a), int(a + rng.normal() > 0)) for a in rng.normal(size=300)]
+    best = logistic.fit(spark.createDataFrame(rows, "a double, y int").mapInPandas(counted, "a double, y int"), ["a"], "y")
+    assert best.passes > 3
+    assert seen.value <= 2 * 300     # the sum of the weights, then the rows
+
+
 def test_empty_table_and_one_class(spark):
     none = spark.createDataFrame([], "a double, y int")
     assert logistic.fit(none, ["a"], "y").coefficients == [0.0]
