@@ -309,3 +309,35 @@ def test_a_subtree_sums_the_rows_of_smaller_children_only(monkeypatch):
     for a, b in zip(got, plain.splits()):
         assert np.array_equal(a, b)
     assert sum(summed) <= n + (depth - 1) * n / 2
+
+
+def test_one_stage_for_all_trees_equals_a_job_a_pass(spark, monkeypatch):
+    x, y = table(3000, 10)
+    x[:, 1] = np.where(np.arange(len(x)) % 20 < 19, 2.0, x[:, 1])      # most rows in one bin
+    tasks = [*VARIANTS.values(), tr.Task(tr.Boost(trees=12, depth=4, rows=0.6), (1.0, 2.0)), tr.Task(tr.Boost(trees=23, depth=5), fold=1)]
+    monkeypatch.setattr(tr, "FEW_ROWS", 500)
+    jobs, found, seen = [], tr._found, []
+    monkeypatch.setattr(tr, "_found", lambda *a: jobs.append(a) or found(*a))
+    for rows in (0, 200, 1 << 17):
+        monkeypatch.setattr(tr, "STAGE_ROWS", rows)
+        seen.append(fitted(spark, x, y, tasks, fold="fold")[1])
+    assert not jobs
+    monkeypatch.setattr(tr, "KEPT_BYTES", 0)      # what doesn't fit the tasks goes by passes
+    seen.append(fitted(spark, x, y, tasks, fold="fold")[1])
+    assert jobs
+    for models in zip(*seen):
+        for a, b in zip(models, models[1:]):
+            assert list(a.rows()) == list(b.rows()) and (a.importance == b.importance).all()
+
+
+def test_sums_by_column_are_those_of_the_histograms():
+    rng, n, n_bins = np.random.default_rng(4), 5000, [7, 3, 2, 100]
+    bins = np.asfortranarray(np.column_stack([rng.integers(0, b, n) for b in n_bins]).astype(np.uint8))
+    bins[:, 1], bins[:, 2] = np.where(np.arange(n) % 10, 1, bins[:, 1]), np.arange(n) < 20
+    values = [np.rint(rng.normal(size=n) * 2.0 ** 30) / 2.0 ** 30 for _ in range(2)] + [1.0 + (rng.random(n) < 0.3) * float(tr.PAIR)]
+    columns = tr._Columns(tr.Block(bins, np.zeros(n, np.uint8), np.arange(n), np.zeros(n, np.int16), np.zeros((0, 0))), n_bins)
+    for rows in (np.arange(n), np.arange(20, n, 3), np.arange(0)):
+        plain = [np.concatenate([np.bincount(c[rows], v[rows], b) for c, b in zip(bins.T, n_bins)]) for v in values]
+        assert np.array_equal(columns.of(rows, values), plain)
+    both = columns.of_all(values[0] + 1j * values[1])
+    assert np.array_equal([both.real, both.imag], [np.concatenate([np.bincount(c, v, b) for c, b in zip(bins.T, n_bins)]) for v in values[:2]])
