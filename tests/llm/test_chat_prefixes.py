@@ -80,3 +80,15 @@ def test_empty_table(spark):
 def test_plan_is_native(spark):
     plan = cp.read_back(cp.expand(table(spark, conversations())))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_every_example_is_read_whole(spark):
+    """A number of an example that is wrong shows in the digest of the replies."""
+    from pyspark.sql import functions as F
+    expanded = cp.expand(table(spark, [(7, t, ["user", "assistant"][t % 2], f"text {t}") for t in range(8)]))
+    digest = lambda e: cp.read_back(e).first()["loss_sha256"]
+    want = digest(expanded)
+    assert want == sha("".join(f"text {t}" for t in (1, 3, 5, 7)))
+    for name, wrong in (("context_chars", F.col("context_chars") - 1), ("example", 3 - F.col("example")), ("loss_start", F.col("loss_start") + 1),
+                        ("loss_chars", F.col("loss_chars") - 1), ("segment", F.replace("segment", F.lit(cp.START + "user"), F.lit("user")))):
+        assert digest(expanded.withColumn(name, wrong)) != want
